@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import packing, simhash, token_count
+from affinis.llm import packing, secrets, sharding, simhash, token_count, warc
 from affinis.llm.common import table
 
 
@@ -26,9 +26,24 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents."""
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("redacted")
+
+
+def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to a content-addressed archive and read back."""
+    return warc.archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
+def op10_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of nearly equal bytes."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 8)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries by name."""
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op6_token_counts)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op6_token_counts, op8_secret_scans, op9_warc_archive, op10_minimax_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
