@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import packing, secrets, sharding, simhash, token_count, warc
+from affinis.llm import ann, html_text, packing, secrets, sharding, simhash, token_count, warc
 from affinis.llm.common import table
 
 
@@ -21,11 +21,21 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th, against all."""
+    return ann.search(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents."""
     return secrets.scan(table(spark, sf_dir, "documents")).drop("redacted")
@@ -43,7 +53,7 @@ def op10_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries by name."""
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op6_token_counts, op8_secret_scans, op9_warc_archive, op10_minimax_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op4_html_extraction, op6_token_counts, op7_nearest_neighbours, op8_secret_scans, op9_warc_archive, op10_minimax_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
