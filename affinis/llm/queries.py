@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import ann, html_text, packing, secrets, sharding, simhash, token_count, warc
+from affinis.llm import ann, decontaminate, html_text, packing, secrets, sharding, simhash, token_count, warc
 from affinis.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against the benchmark."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -53,7 +58,7 @@ def op10_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries by name."""
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op4_html_extraction, op6_token_counts, op7_nearest_neighbours, op8_secret_scans, op9_warc_archive, op10_minimax_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op4_html_extraction, op5_decontamination, op6_token_counts, op7_nearest_neighbours, op8_secret_scans, op9_warc_archive, op10_minimax_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
