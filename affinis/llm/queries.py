@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import ann, decontaminate, html_text, packing, secrets, sharding, simhash, token_count, warc
+from affinis.llm import ann, decontaminate, html_text, packing, secrets, sharding, simhash, token_count, toxicity, warc
 from affinis.llm.common import table
 
 
@@ -21,6 +21,12 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -58,7 +64,7 @@ def op10_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The queries by name."""
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op4_html_extraction, op5_decontamination, op6_token_counts, op7_nearest_neighbours, op8_secret_scans, op9_warc_archive, op10_minimax_sharding)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_simhash_near_dedup, op3_toxicity, op4_html_extraction, op5_decontamination, op6_token_counts, op7_nearest_neighbours, op8_secret_scans, op9_warc_archive, op10_minimax_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

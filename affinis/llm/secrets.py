@@ -140,3 +140,29 @@ def scan(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col:
     return source.mapInArrow(
         scanned, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, redacted string"
     )
+
+
+def redact(docs: DataFrame, scope: int = SCOPE, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """docs with every span of the text replaced by its kind in brackets, and the text's length anew; no shuffle.
+
+    Rows without spans, null texts included, pass unchanged; a table without the length column passes without it.
+    """
+    names = docs.columns
+
+    def changed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, lengths = list(batch.columns), {}
+            texts = batch.column(names.index(text_col)).to_pylist()
+            for k, text in enumerate(texts):
+                if text and (spans := find_spans(text, scope)):
+                    texts[k] = redacted(text, spans)
+                    lengths[k] = len(texts[k])
+            if lengths:
+                columns[names.index(text_col)] = pa.array(texts, batch.schema.field(names.index(text_col)).type)
+                if length_col in names:
+                    at = names.index(length_col)
+                    old = columns[at].to_pylist()
+                    columns[at] = pa.array([lengths.get(k, n) for k, n in enumerate(old)], batch.schema.field(at).type)
+            yield pa.record_batch(columns, schema=batch.schema)
+
+    return docs.mapInArrow(changed, docs.schema)
