@@ -4,16 +4,39 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from affinis.llm import packing, simhash
+from affinis.llm import decontaminate, packing, secrets, simhash, toxicity
 from affinis.llm.common import table, written
 
 
+def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """docs without the given doc_ids. Their table is written first, so that Spark knows its size and broadcasts it only if small."""
+    gone = written(ids.select(F.col("doc_id").alias("gone_id")).distinct(), label)
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the toxicity model rejects."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies."""
+    """Keeps the document with the smallest doc_id of each group of near copies; rows repeating one doc_id are one document."""
     marks = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = marks.where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi")
+    return _without(docs, marks.where("component_id <> doc_id"), "near-copies")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that hold benchmark items, also with other values in their slots."""
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, leaks, "leaks")
+
+
+def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces the secrets in every text by their kind; all documents stay."""
+    return secrets.redact(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +44,15 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("simhash_near_dedup", simhash_near_dedup), ("best_fit_packing", best_fit_packing)]
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scans", secret_redaction),
+    ("best_fit_packing", best_fit_packing),
+]
 
-#: SQL cannot express the stages.
+#: SQL cannot express the first, second and last stage; tests compare every stage with a brute-force version.
 ORACLE_SQL = None
 
 
