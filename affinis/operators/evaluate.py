@@ -70,7 +70,7 @@ def cap_matches(scored: DataFrame, tau: float, cap: int | None = None) -> DataFr
 
 
 def threshold_sweep(scored: DataFrame, truth: DataFrame, population: DataFrame, grid: Sequence[float], caps: Sequence[int | None] = (None,)) -> DataFrame:
-    """(cap, tau, f05, singleton_acc) of every threshold and cap, in one pass over the pairs per cap.
+    """(cap, tau, f05, singleton_acc) of every threshold and cap, in one pass over the pairs (a cross join adds a single row of totals).
 
     scored: (s1_id, s23_id, proba). A pair counts from the largest threshold at or below its probability downwards; what each record
     adds is summed from the top down, the change of its score is added up over records per threshold, and over the at most
@@ -79,34 +79,33 @@ def threshold_sweep(scored: DataFrame, truth: DataFrame, population: DataFrame,
     taus = sorted(grid)
     true = truth.select("s1_id", "s23_id").distinct().withColumn("t", F.lit(1))
     n_true = population.select("s1_id").distinct().join(true.groupBy("s1_id").agg(F.count("*").alias("n_true")), "s1_id", "left").select("s1_id", F.coalesce("n_true", F.lit(0)).alias("n_true"))
-    at = F.expr("null").cast("int")
-    for k, tau in enumerate(taus):
-        at = F.when(F.col("proba") >= tau, k).otherwise(at)
+    # a lambda's variable, so that the score is computed once and not once per threshold
+    at = F.get(F.transform(F.array("proba"), lambda p: F.size(F.filter(F.lit(taus), lambda tau: p >= tau)) - 1), F.lit(0))
     rank = F.row_number().over(Window.partitionBy("s1_id").orderBy(F.desc("proba"), "s23_id"))
-    placed = scored.select("s1_id", "s23_id", "proba", at.alias("at")).where("at is not null")
+    placed = scored.select("s1_id", "s23_id", "proba", at.alias("at")).where(F.col("proba") >= taus[0])
     placed = placed.withColumn("rank", rank).join(true, ["s1_id", "s23_id"], "left")
     base = n_true.agg(F.count("*").alias("n"), F.count_if(F.col("n_true") == 0).alias("n_single"))
     spark = scored.sparkSession
     steps = spark.range(len(taus)).select(F.col("id").cast("int").alias("at"), F.get(F.lit(list(taus)), F.col("id").cast("int")).alias("tau"))
-    out = None
-    for cap in caps:
-        kept = placed if cap is None else placed.where(F.col("rank") <= cap)
-        added = kept.groupBy("s1_id", "at").agg(F.count("*").alias("dp"), F.count("t").alias("dt"))
-        down = Window.partitionBy("s1_id").orderBy(F.desc("at"))
-        sums = added.withColumns({"n_pred": F.sum("dp").over(down), "n_tp": F.sum("dt").over(down)}).join(n_true, "s1_id")
-        score = f05(F.col("n_pred"), F.col("n_true"), F.col("n_tp"))
-        empty = F.when(F.col("n_true") == 0, 1.0).otherwise(0.0)
-        changed = sums.withColumn("score", score).select("at", (F.col("score") - F.coalesce(F.lag("score").over(down), empty)).alias("change"), F.when((F.col("n_true") == 0) & (F.col("n_pred") == F.col("dp")), 1).otherwise(0).alias("lost"))
-        per_tau = changed.groupBy("at").agg(F.sum("change").alias("change"), F.sum("lost").alias("lost"))
-        total = Window.orderBy(F.desc("at"))  # one row per threshold
-        swept = steps.join(per_tau, "at", "left").withColumns({"c": F.coalesce(F.sum("change").over(total), F.lit(0.0)), "l": F.coalesce(F.sum("lost").over(total), F.lit(0))})
-        one = swept.crossJoin(base).select(
-            F.lit(cap).cast("int").alias("cap"), "tau",
-            F.when(F.col("n") == 0, 0.0).otherwise((F.col("n_single") + F.col("c")) / F.nullif("n", F.lit(0))).alias("f05"),
-            F.when(F.col("n_single") == 0, 1.0).otherwise(1.0 - F.col("l") / F.nullif("n_single", F.lit(0))).alias("singleton_acc"),
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    limits = F.array(*(F.lit(cap or 0) for cap in caps))
+    kept = placed.withColumn("cap", F.explode(limits)).where((F.col("cap") == 0) | (F.col("rank") <= F.col("cap")))
+    added = kept.groupBy("cap", "s1_id", "at").agg(F.count("*").alias("dp"), F.count("t").alias("dt"))
+    down = Window.partitionBy("cap", "s1_id").orderBy(F.desc("at"))
+    sums = added.withColumns({"n_pred": F.sum("dp").over(down), "n_tp": F.sum("dt").over(down)}).join(n_true, "s1_id")
+    score = f05(F.col("n_pred"), F.col("n_true"), F.col("n_tp"))
+    empty = F.when(F.col("n_true") == 0, 1.0).otherwise(0.0)
+    first = (F.col("n_true") == 0) & (F.col("n_pred") == F.col("dp"))
+    changed = sums.withColumn("score", score).select("cap", "at", (F.col("score") - F.coalesce(F.lag("score").over(down), empty)).alias("change"), F.when(first, 1).otherwise(0).alias("lost"))
+    per_tau = changed.groupBy("cap", "at").agg(F.sum("change").alias("change"), F.sum("lost").alias("lost"))
+    total = Window.partitionBy("cap").orderBy(F.desc("at"))  # one row per threshold
+    grid_rows = steps.withColumn("cap", F.explode(limits))
+    swept = grid_rows.join(per_tau, ["cap", "at"], "left").withColumns({"c": F.coalesce(F.sum("change").over(total), F.lit(0.0)), "l": F.coalesce(F.sum("lost").over(total), F.lit(0))})
+    return swept.crossJoin(base).select(
+        F.nullif("cap", F.lit(0)).alias("cap"),
+        "tau",
+        F.when(F.col("n") == 0, 0.0).otherwise((F.col("n_single") + F.col("c")) / F.nullif("n", F.lit(0))).alias("f05"),
+        F.when(F.col("n_single") == 0, 1.0).otherwise(1.0 - F.col("l") / F.nullif("n_single", F.lit(0))).alias("singleton_acc"),
+    )
 
 
 def best_threshold(sweep: DataFrame) -> tuple[float, int | None, float]:

@@ -21,7 +21,7 @@ def train_model(pairs: DataFrame, features: Sequence[str] = FEATURES, rounds: in
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     boosting = GBTClassifier(
-        featuresCol="_features", labelCol="label", predictionCol="_prediction", rawPredictionCol="_raw", probabilityCol="_probability",
+        featuresCol="_features", labelCol="label", predictionCol="_prediction",
         maxIter=rounds, stepSize=rate, maxDepth=depth, minInstancesPerNode=min_rows, seed=seed, validationIndicatorCol="validation", validationTol=0.0,
     )
     rows = pairs.withColumn("label", F.col("label").cast("double"))
@@ -30,8 +30,8 @@ def train_model(pairs: DataFrame, features: Sequence[str] = FEATURES, rounds: in
 
 def score_pairs(pairs: DataFrame, model: PipelineModel) -> DataFrame:
     """pairs with proba, the probability of a match."""
-    scored = model.transform(pairs).withColumn("proba", vector_to_array("_probability")[1])
-    return scored.drop("_features", "_prediction", "_raw", "_probability")
+    scored = model.transform(pairs).withColumn("proba", vector_to_array("probability")[1])
+    return scored.drop("_features", "_prediction", "rawPrediction", "probability")
 
 
 def feature_importance(model: PipelineModel, features: Sequence[str] = FEATURES) -> list[tuple[str, float]]:

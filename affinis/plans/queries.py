@@ -209,7 +209,7 @@ def er_stratum_counts(spark, sf_dir):
 
 def er_dev_cohort(spark, sf_dir):
     """Ids of a development cohort (M8)."""
-    records, _ = sampling.dev_cohort(entities(spark, sf_dir), truth(spark, sf_dir), population(spark, sf_dir), 100)
+    records, _ = sampling.dev_cohort(entities(spark, sf_dir).persist(), truth(spark, sf_dir).persist(), population(spark, sf_dir), 100)
     return records.select("entity_id")
 
 
