@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from affinis.llm.common import written
 
 #: Pieces that one numbering group holds on average, and words that a worker remembers.
-GROUP_ROWS, CACHE_WORDS, CACHE_PARTS = 100_000, 700_000, 400_000
+GROUP_ROWS, CACHE_WORDS, CACHE_PARTS = 100_000, 300_000, 150_000
 RANK_BITS = 40
 
 

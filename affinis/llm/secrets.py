@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Code points that may lie between the parts of one credential.
 SCOPE = 160
+#: Rows whose texts a worker holds at once.
+SLICE = 512
 #: Kinds in the order in which spans with the same start are listed: base, then linked.
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "secret", "account", "endpoint")
@@ -150,7 +152,7 @@ def redact(docs: DataFrame, scope: int = SCOPE, text_col: str = "text", length_c
     names = docs.columns
 
     def changed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             columns, lengths = list(batch.columns), {}
             texts = batch.column(names.index(text_col)).to_pylist()
             for k, text in enumerate(texts):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words that a worker remembers.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 SPACE = "▁"
 
 
