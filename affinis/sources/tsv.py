@@ -27,7 +27,7 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
 def read_truth(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(pairs, population): true (s1_id, s23_id), ids trimmed, and all (s1_id), also those without matches."""
     rows = read_tsv(spark, path, TRUTH).withColumnRenamed("source1_entity_id", "s1_id")
-    ids = F.filter(F.transform(F.split("matched_entity_ids", ","), F.trim), lambda x: x != "")
+    ids = F.filter(F.transform(F.split("matched_entity_ids", ","), lambda x: F.trim(x)), lambda x: x != "")
     return rows.select("s1_id", F.explode(ids).alias("s23_id")).distinct(), rows.select("s1_id").distinct()
 
 
