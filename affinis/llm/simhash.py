@@ -34,8 +34,8 @@ BLOCK = 4096
 GENERATOR = 0b110001110101
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): a bit of fp is 1 if it is set in over half the hashes of the text's shingles; no shuffle.
+def fingerprints(docs: DataFrame, shingle_words: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
+    """(doc_id, fp): a bit of fp is 1 if it is set in over half the hashes of the text's shingles (distinct: each once); no shuffle.
 
     Words are runs of bytes other than ASCII white space, after lower-casing A to Z; shorter texts hash as one shingle, null
     and empty ones have fingerprint 0.
@@ -47,6 +47,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 4, seed: int = 42, id_col
             return 0
         k = min(shingle_words, len(words))
         shingles = map(b" ".join, zip(*(itertools.islice(words, i, None) for i in range(k))))
+        shingles = iter(set(shingles)) if distinct else shingles
         ones, n = np.zeros(64, "i8"), 0
         while block := list(map(xxh64_intdigest, itertools.islice(shingles, 65536), itertools.repeat(seed))):
             octets = np.array(block, "<u8").view("u1").reshape(-1, 8)
@@ -224,14 +225,14 @@ def fingerprint_links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
     return edges.union(more.select("a", "b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle_words: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
     """(doc_id, fingerprint, component_id): documents whose fingerprints are linked, directly or through others.
 
     component_id is the smallest doc_id of the component. Null and empty texts share fingerprint 0 and link like any other;
     exact copies and repeated rows share a fingerprint and so a component; rows with a null doc_id keep their fingerprint
     and take no part in the smallest; an empty table gives no rows; further columns are ignored; long texts count whole.
     """
-    marked = written(fingerprints(docs, shingle_words, seed, id_col, text_col), "simhash")
+    marked = written(fingerprints(docs, shingle_words, seed, id_col, text_col, distinct), "simhash")
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     links = fingerprint_links(distinct)
     linked = components(links, "simhash-components").withColumnRenamed("node", "fp")
@@ -242,3 +243,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, seed: int = 42, id_
     return marked.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def near_copies(docs: DataFrame, shingle_words: int = 2, seeds: tuple[int, ...] = (42, 7, 99)) -> DataFrame:
+    """(doc_id, component_id) of the documents that are near copies of one with a smaller doc_id, directly or through others.
+
+    Edited copies, which share 0.8 of their five-word shingles, are mostly over 4 bits apart by fingerprints of long shingles. Here
+    documents link where fingerprints of their distinct short shingles do so under any of several seeds. Edge cases are those of
+    near_duplicates; rows without doc_id are never reported.
+    """
+    edges = None
+    for seed in seeds:
+        marks = near_duplicates(docs, shingle_words, seed, distinct=True).where("doc_id <> component_id")
+        own = marks.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
+        edges = own if edges is None else edges.union(own)
+    return components(edges, "near-copies").where("node <> component").select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))

@@ -68,6 +68,17 @@ def test_simhash_components(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_copies_with_edits(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for g in range(12):
+        words = [f"g{g}w{rng.integers(0, 10**6)}" for _ in range(200)]
+        edited = [f"e{g}x{k}" if k % 50 == 25 else w for k, w in enumerate(words)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(edited))]
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame([*rows, (100, None), (101, "")], "doc_id long, text string")).collect()}
+    assert found.pop(101) == 100 and all(d == c + 1 and c % 2 == 0 for d, c in found.items()) and len(found) >= 9
+
+
 def test_long_buckets_in_blocks_lose_no_link(spark):
     rng = np.random.default_rng(4)
     center = int(rng.integers(0, 2**62))
