@@ -24,8 +24,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near copies; rows repeating one doc_id are one document."""
-    marks = simhash.near_duplicates(docs.select("doc_id", "text"))
-    return _without(docs, marks.where("component_id <> doc_id"), "near-copies")
+    return _without(docs, simhash.near_copies(docs.select("doc_id", "text")), "near-copies")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
