@@ -58,9 +58,10 @@ def write_archive(pages: DataFrame, min_bytes: int = 0, id_col="page_id", url_co
     # one page per digest carries the payload into the archive
     carried = source.join(verified.select(F.col("first").alias("page_id"), "sha256"), "page_id").where(F.sha2("payload", 256) == F.col("sha256"))
     unnamed = source.where("page_id is null").withColumn("sha256", F.sha2("payload", 256)).join(verified.where("first is null").select("sha256"), "sha256")
-    # the join has dealt payloads by page_id, so that repeated rows go without a second exchange
-    carried = carried.dropDuplicates(["page_id", "sha256"]).select("sha256", "payload")
-    payloads = written(carried.union(unnamed.select("sha256", "payload").dropDuplicates(["sha256"])), "warc-payloads")
+    if not light.where("page_id is not null").groupBy("page_id", "sha256").count().where("count > 1").isEmpty():
+        carried = carried.dropDuplicates(["sha256"])  # only repeated rows need this exchange of payloads
+    unnamed = unnamed.select("sha256", "payload").dropDuplicates(["sha256"])
+    payloads = written(carried.select("sha256", "payload").union(unnamed), "warc-payloads")
     revisit = (F.col("n") >= min_bytes) & (F.col("page_id") != F.col("first"))
     revisit = F.coalesce(revisit, F.col("page_id").isNull() & F.col("first").isNotNull() & (F.col("n") >= min_bytes))
     url = F.regexp_replace(F.coalesce("url", F.lit("")), " ", "%20")

@@ -183,6 +183,7 @@ def test_warc(spark, tmp_path):
         assert whole[at:end].startswith(b"WARC/1.1\r\n")
         at, n = end + 4 + int(whole[at:end].split(b"Content-Length: ")[1]) + 4, n + 1
     assert n == len(pages)
+    assert warc.archive_pages(spark, df.union(df)).count() == 12 and warc.write_archive(df.union(df))[1].count() == 4
     assert {r.record_type for r in warc.archive_pages(spark, df, 100).collect()} == {"response"} and warc.archive_pages(spark, df.limit(0)).count() == 0
 
 
