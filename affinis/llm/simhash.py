@@ -15,7 +15,7 @@ blocks. Connected components of these forests are those of all links.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -32,6 +32,8 @@ MAX_BITS = 4
 BLOCK = 4096
 #: Generator polynomial of the [23,12,7] Golay code (fixed value).
 GENERATOR = 0b110001110101
+#: Near copies: words of a shingle; similarity that links, as a fraction; bands and minima of a band. Of pairs at 0.8, 3 in a million share no band.
+NEAR_WORDS, SIMILAR, BANDS, BAND_ROWS = 5, (4, 5), 24, 4
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
@@ -245,16 +247,91 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, seed: int = 42, id_
     )
 
 
-def near_copies(docs: DataFrame, shingle_words: int = 2, seeds: tuple[int, ...] = (42, 7, 99)) -> DataFrame:
+def shingle_set(words: list[bytes], shingle_words: int = NEAR_WORDS) -> np.ndarray:
+    """The distinct hashes of the words' shingles, sorted; fewer words are one shingle, no words none."""
+    if not words:
+        return np.zeros(0, "u8")
+    k = min(shingle_words, len(words))
+    return np.unique(np.fromiter(map(xxh64_intdigest, map(b" ".join, zip(*(itertools.islice(words, i, None) for i in range(k))))), "u8"))
+
+
+@cache
+def _permutations() -> tuple[np.ndarray, np.ndarray]:
+    """Factors (odd) and masks of BANDS * BAND_ROWS orders of hashes."""
+    rng = np.random.default_rng(42)
+    drawn = rng.integers(0, 2**64, (2, BANDS * BAND_ROWS, 1), dtype="u8")
+    return drawn[0] | np.uint64(1), drawn[1]
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """One key for each band of minima under random orders: sets of similarity s share a band's key with chance s ** BAND_ROWS."""
+    factors, masks = _permutations()
+    least = np.full(len(factors), 2**64 - 1, "u8")
+    for at in range(0, len(hashes), 1024):
+        mixed = (hashes[at : at + 1024] ^ masks) * factors
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=1))
+    own = least.astype("<u8").tobytes()
+    keys = [xxh64_intdigest(own[8 * BAND_ROWS * k : 8 * BAND_ROWS * (k + 1)], k) for k in range(BANDS)] if len(hashes) else []
+    return np.array(keys, "u8").view("i8").tolist()
+
+
+def _of_shingles(docs: DataFrame, shingle_words: int, name: str, of: Callable[[np.ndarray], list[int]]) -> DataFrame:
+    """(doc_id, sig, array ``name``) by row: sig hashes the whole sequence of words, and ``of`` takes its shingle set."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
+            words = [(text.as_py() or "").encode().lower().split() for text in batch.column(1)]
+            sigs = np.array([xxh64_intdigest(b" ".join(w)) for w in words], "u8").view("i8")
+            arrays = pa.array([of(shingle_set(w, shingle_words)) for w in words], pa.list_(pa.int64()))
+            yield pa.record_batch([batch.column(0), pa.array(sigs), arrays], ["doc_id", "sig", name])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(rows, f"doc_id long, sig long, {name} array<long>")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard similarity of SIMILAR or more."""
+    part, whole = SIMILAR
+    both = pairs.join(sets.select(F.col("sig").alias("a"), F.col("shingles").alias("of_a")), "a").join(
+        sets.select(F.col("sig").alias("b"), F.col("shingles").alias("of_b")), "b"
+    )
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return both.where(common * (part + whole) >= part * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+
+
+def near_copies(docs: DataFrame, shingle_words: int = NEAR_WORDS) -> DataFrame:
     """(doc_id, component_id) of the documents that are near copies of one with a smaller doc_id, directly or through others.
 
-    Edited copies, which share 0.8 of their five-word shingles, are mostly over 4 bits apart by fingerprints of long shingles. Here
-    documents link where fingerprints of their distinct short shingles do so under any of several seeds. Edge cases are those of
-    near_duplicates; rows without doc_id are never reported.
+    Two texts link where their sets of five-word shingles have a Jaccard similarity of 0.8 or more. Such sets are mostly over 4 bits
+    apart by fingerprints, so candidates are texts that share a band of minima of their shingles; every link is verified
+    on the whole sets, by a join, before components are built. First each bucket's texts are compared with its smallest, then
+    all that are still in different components. Words are those of fingerprints(); texts of the same words link without comparison,
+    null and empty ones among them; rows repeating one doc_id are one document; rows without doc_id are never reported.
     """
-    edges = None
-    for seed in seeds:
-        marks = near_duplicates(docs, shingle_words, seed, distinct=True).where("doc_id <> component_id")
-        own = marks.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
-        edges = own if edges is None else edges.union(own)
+    marked = written(_of_shingles(docs, shingle_words, "keys", band_keys), "near-marks")
+    distinct = written(marked.groupBy("sig").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")), "near-distinct")
+    keyed = distinct.select("sig", F.explode("keys").alias("key"))
+    heads = keyed.groupBy("key").agg(F.min("sig").alias("lead"), F.max("sig").alias("last")).where("lead <> last").select("key", "lead")
+    shared = written(keyed.join(heads, "key"), "near-shared")
+
+    wanted = written(shared.select("sig").distinct().join(distinct.select("sig", F.col("first").alias("wanted_id")), "sig"), "near-wanted")
+    ids = written(wanted.select("wanted_id").distinct(), "near-ids")
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    own = _of_shingles(texts, shingle_words, "shingles", lambda hashes: hashes.view("i8"))
+    sets = written(own.join(wanted, "sig", "left_semi").groupBy("sig").agg(F.first("shingles").alias("shingles")), "near-sets")
+
+    first = written(shared.where("sig <> lead").select(F.col("lead").alias("a"), F.col("sig").alias("b")).distinct(), "near-pairs")
+    links = written(_verified(first, sets), "near-links")
+    labels = components(links, "near-labels").select(F.col("node").alias("sig"), "component")
+    placed = written(shared.join(labels, "sig", "left").select("key", "sig", F.coalesce("component", "sig").alias("label")), "near-placed")
+    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    left = placed.join(split, "key")
+    other = left.select("key", F.col("sig").alias("b"), F.col("label").alias("label_b"))
+    rest = left.withColumnRenamed("sig", "a").join(other, "key").where("a < b and label <> label_b").select("a", "b").distinct()
+    more = _verified(rest.join(first, ["a", "b"], "left_anti"), sets)
+
+    linked = components(links.union(more), "near-components").select(F.col("node").alias("sig"), "component")
+    groups = distinct.select("sig", "first").join(linked, "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    smallest = groups.groupBy("component").agg(F.min("first").alias("least"))
+    marks = marked.select("sig", "doc_id").join(groups.join(smallest, "component").select("sig", "least"), "sig").where("doc_id <> least")
+    edges = marks.select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
     return components(edges, "near-copies").where("node <> component").select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))

@@ -79,6 +79,24 @@ def test_near_copies_with_edits(spark):
     assert found.pop(101) == 100 and all(d == c + 1 and c % 2 == 0 for d, c in found.items()) and len(found) >= 9
 
 
+def test_near_copies_are_all_found_and_verified(spark):
+    rng = np.random.default_rng(11)
+    rows = [(1000, None), (1001, " "), (1002, "a b c"), (1003, "A  b c"), (1004, "a b d"), (None, "a b c")]
+    for g in range(40):
+        words = [f"g{g}w{rng.integers(0, 10**6)}" for _ in range(200)]
+        edits = 4 if g % 2 else 5  # 20 or 25 of 196 shingles: a similarity of 0.815 or 0.774
+        copy = [f"e{g}x{k}" if k % 30 == 15 and k < 30 * edits else w for k, w in enumerate(words)]
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join(copy))]
+    hub = [f"hub{k}" for k in range(200)]
+    for v in range(6):  # each has 0.84 with the hub and 0.71 with every other
+        rows.append((200 + v, " ".join(f"v{v}x{k}" if k % 60 == 5 + 9 * v else w for k, w in enumerate(hub[:180]))))
+    rows.append((210, " ".join(hub[:180])))
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    expected = {2 * g + 1: 2 * g for g in range(1, 40, 2)} | {d: 200 for d in (201, 202, 203, 204, 205, 210)}
+    assert found == expected | {1001: 1000, 1003: 1002}
+    assert simhash.near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_long_buckets_in_blocks_lose_no_link(spark):
     rng = np.random.default_rng(4)
     center = int(rng.integers(0, 2**62))
