@@ -2,8 +2,8 @@
 
 Numbers, names and units become typed placeholders, so a question asked again with other values keeps its template. Hashes of
 template windows of the benchmark are joined with those of all documents; where a document holds enough of an item's windows,
-the values in its slots are compared with the item's at the commonest alignment: one item value must stand for one document
-value throughout.
+the values in its slots are compared with the item's where the windows around them lie: one item value must stand for one
+document value throughout, unless enough windows hold the item's very words.
 """
 
 from __future__ import annotations
@@ -56,18 +56,35 @@ def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str
     return benchmark.select(F.col(id_col).cast("long").alias("item_id"), words(text).alias("item_words"), template(text).alias("template")).distinct()
 
 
+def line(words: Column) -> Column:
+    """Words as one text with spaces around, in which a passage can be looked up."""
+    return F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+
+
+def slot_shift(i: Column, width: int) -> Column:
+    """From column ``placed``, how far word i of an item is moved in the document: as the windows over it are, those of the commonest
+    shift first; without one, as the windows before and after it are, and null where these disagree."""
+    over = F.filter("placed", lambda w: (w["item_at"] <= i) & (i < w["item_at"] + width))
+    before = F.try_element_at(F.filter("placed", lambda w: w["item_at"] + width <= i), F.lit(-1))["shift"]
+    after = F.get(F.filter("placed", lambda w: w["item_at"] > i), 0)["shift"]
+    beside = F.when(F.coalesce(before, after) == F.coalesce(after, before), F.coalesce(before, after))
+    return F.when(F.exists(over, lambda w: w["shift"] == F.col("shift")), F.col("shift")).otherwise(F.when(F.size(over) > 0, F.get(over, 0)["shift"]).otherwise(beside))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, item_id, matched_windows, item_windows, coverage, n_slots, reparameterised): the benchmark items that documents hold.
 
-    A pair is reported where at least ``coverage`` of the item's windows occur in the document and its slots are consistent;
-    reparameterised tells that slot values differ. Null and empty texts hold nothing; rows with one doc_id count as
+    A pair is reported where at least ``coverage`` of the item's windows occur in the document and its slots are consistent, or
+    so many occur word for word; reparameterised tells that slot values differ. Null and empty texts hold nothing; rows with one doc_id count as
     one document, and so do rows without one; items of fewer than ``width`` words, or without a window of ``LITERALS`` literal words,
     are not searched; of items with one id each is searched with the windows of all; empty tables give no rows; further
     columns are ignored; texts of any length are read whole.
     """
-    items = written(benchmark_items(benchmark), "bench-items")
-    literal = F.size(F.filter(F.slice("template", F.col("at") + 1, width), lambda w: ~w.rlike(f"[{MARKS}]")))
-    item_windows = windows(items, ["item_id", "template"], width).where(literal >= LITERALS).select("item_id", F.col("at").alias("item_at"), "hash").distinct()
+    items = benchmark_items(benchmark)
+    places = F.when(F.size("template") >= width, F.sequence(F.lit(0), F.size("template") - width)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: F.size(F.filter(F.slice("template", i + 1, width), lambda w: ~w.rlike(f"[{MARKS}]"))) >= LITERALS)
+    items = written(items.withColumn("starts", starts), "bench-items")
+    item_windows = windows(items, ["item_id", "starts"], width).where(F.array_contains("starts", F.col("at"))).select("item_id", F.col("at").alias("item_at"), "hash").distinct()
     item_windows = written(item_windows, "bench-windows")
     sizes = item_windows.groupBy("item_id").agg(F.count("*").alias("item_windows"))
     small = item_windows.count() <= broadcast_rows
@@ -77,24 +94,32 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cover
     rolled = windows(source.select("doc_id", template(spaced(F.col("text"))).alias("template")), ["doc_id"], width)
     hits = rolled.join(marked(item_windows), "hash")
     placed = hits.groupBy("doc_id", "item_id", "item_at").agg(F.min("at").alias("at"))
-    found = placed.groupBy("doc_id", "item_id").agg(F.count("*").alias("matched_windows"), F.mode(F.col("at") - F.col("item_at"), True).alias("shift"))
+    found = placed.groupBy("doc_id", "item_id").agg(
+        F.count("*").alias("matched_windows"),
+        F.mode(F.col("at") - F.col("item_at"), True).alias("shift"),
+        F.array_sort(F.collect_list(F.struct("item_at", (F.col("at") - F.col("item_at")).alias("shift")))).alias("placed"),
+    )
     found = found.join(marked(sizes), "item_id").where(F.col("matched_windows") >= coverage * F.col("item_windows"))
     found = written(found, "bench-found")  # with its size known, the next join is broadcast only if it is small
 
     wanted = found.join(items, "item_id").withColumnRenamed("doc_id", "leak_id")
     texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("leak_id"))).select(
-        "doc_id", "item_id", "matched_windows", "item_windows", "shift", "item_words", F.col("template").alias("item_template"), spaced(F.col("text")).alias("spaced")
+        "doc_id", "item_id", "matched_windows", "item_windows", "shift", "placed", "item_words", "starts", F.col("template").alias("item_template"), spaced(F.col("text")).alias("spaced")
     )
     both = texts.withColumns({"doc_words": words(F.col("spaced")), "doc_template": template(F.col("spaced"))})
-    slots = F.filter(
-        F.sequence(F.lit(0), F.size("item_words") - 1),
-        lambda i: F.get("item_template", i).rlike(f"[{MARKS}]") & (F.col("shift") + i >= 0) & F.get("item_template", i).eqNullSafe(F.get("doc_template", (F.col("shift") + i).cast("int"))),
-    )
-    pairs = both.withColumn("slots", slots).withColumn(
-        "pairs", F.transform("slots", lambda i: F.struct(F.get("item_words", i).alias("item"), F.get("doc_words", (F.col("shift") + i).cast("int")).alias("doc")))
+    both = both.withColumn("line", line(F.col("doc_words")))
+    # lambdas below are behind a second use of what they read, so that it is computed once a row
+    same = F.transform("starts", lambda i: F.col("line").contains(line(F.slice("item_words", i + 1, width))))
+    slots = F.filter(F.sequence(F.lit(0), F.size("item_words") - 1), lambda i: F.get("item_template", i).rlike(f"[{MARKS}]"))
+    slots = F.transform(slots, lambda i: F.struct(i.alias("i"), (i + slot_shift(i, width)).cast("int").alias("at")))
+    slots = F.filter(slots, lambda x: (x["at"] >= 0) & F.get("item_template", x["i"]).eqNullSafe(F.get("doc_template", x["at"])))
+    pairs = both.withColumns({"same": F.when(F.length("line") > 0, same), "slots": F.when(F.size("doc_template") > 0, slots)})
+    pairs = pairs.withColumn(
+        "pairs", F.when(F.size("doc_words") > 0, F.transform("slots", lambda x: F.struct(F.get("item_words", x["i"]).alias("item"), F.get("doc_words", x["at"]).alias("doc"))))
     )
     consistent = F.size(F.array_distinct("pairs")) == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
-    return pairs.where(consistent).groupBy("doc_id", "item_id", "matched_windows", "item_windows").agg(
+    verbatim = F.size(F.filter("same", lambda x: x)) >= coverage * F.size("starts")
+    return pairs.where(consistent | verbatim).groupBy("doc_id", "item_id", "matched_windows", "item_windows").agg(
         (F.first("matched_windows") / F.first("item_windows")).alias("coverage"),
         F.max(F.size("slots")).cast("long").alias("n_slots"),
         F.max(F.exists("pairs", lambda p: p["item"] != p["doc"])).alias("reparameterised"),

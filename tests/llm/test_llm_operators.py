@@ -142,6 +142,16 @@ def test_decontamination(spark):
     assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0 and decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_edited_copies(spark):
+    item = "The committee of Anna Maria Bell, Bob Carl Dean and Anna Eve Fox met in Paris and Rome while Anna Maria Bell was away in Rome for the whole week."
+    other = "Sue gives 40 of the apples to the boys and keeps the rest of them, then Tom Ray Poe sells 40 of the pears to them."
+    asked = "x Eva gives 71 of the apples to the boys and keeps the rest of them, and then Max Lee Orr sells {} of the pears to them."
+    docs = [(1, item.replace("Dean and", "Dean, Zed and")), (2, item.replace("met in", "met again in")), (3, asked.format(71)), (4, asked.format(72)), (5, item)]
+    bench = spark.createDataFrame([(0, item), (1, other)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.reparameterised) for r in decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert found == {(1, 0, False), (2, 0, False), (3, 1, True), (5, 0, False)}
+
+
 def test_token_counts(spark, docs):
     import sentencepiece
 
