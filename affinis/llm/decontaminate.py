@@ -15,6 +15,8 @@ from affinis.llm.common import written
 
 #: Words of a window; literal words that a benchmark window must have; share of an item's windows that makes a leak.
 WINDOW, LITERALS, COVERAGE = 6, 3, 0.4
+#: Consecutive windows, word for word, that make a leak of an item of any length: the share of an item of 60 words.
+RUN = 22
 #: Benchmark windows that are broadcast at most; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Placeholders: private-use characters.
@@ -75,9 +77,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cover
     """(doc_id, item_id, matched_windows, item_windows, coverage, n_slots, reparameterised): the benchmark items that documents hold.
 
     A pair is reported where at least ``coverage`` of the item's windows occur in the document and its slots are consistent, or
-    so many occur word for word; reparameterised tells that slot values differ. Null and empty texts hold nothing; rows with one doc_id count as
-    one document, and so do rows without one; items of fewer than ``width`` words, or without a window of ``LITERALS`` literal words,
-    are not searched; of items with one id each is searched with the windows of all; empty tables give no rows; further
+    so many occur word for word, or ``RUN`` consecutive ones do; reparameterised tells that slot values differ. Items of fewer
+    than ``width`` words, or without a window of ``LITERALS`` literal words, are one window as a whole and searched word for word.
+    Null and empty texts hold nothing; rows with one doc_id count as one document, and so do rows without one; items without
+    words are not searched; of items with one id each is searched with the windows of all; empty tables give no rows; further
     columns are ignored; texts of any length are read whole.
     """
     items = benchmark_items(benchmark)
@@ -99,7 +102,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cover
         F.mode(F.col("at") - F.col("item_at"), True).alias("shift"),
         F.array_sort(F.collect_list(F.struct("item_at", (F.col("at") - F.col("item_at")).alias("shift")))).alias("placed"),
     )
-    found = found.join(marked(sizes), "item_id").where(F.col("matched_windows") >= coverage * F.col("item_windows"))
+    found = found.join(marked(sizes), "item_id").where((F.col("matched_windows") >= coverage * F.col("item_windows")) | (F.col("matched_windows") >= RUN))
     found = written(found, "bench-found")  # with its size known, the next join is broadcast only if it is small
 
     wanted = found.join(items, "item_id").withColumnRenamed("doc_id", "leak_id")
@@ -118,9 +121,50 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cover
         "pairs", F.when(F.size("doc_words") > 0, F.transform("slots", lambda x: F.struct(F.get("item_words", x["i"]).alias("item"), F.get("doc_words", x["at"]).alias("doc"))))
     )
     consistent = F.size(F.array_distinct("pairs")) == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"])))
+    enough = F.col("matched_windows") >= coverage * F.col("item_windows")
     verbatim = F.size(F.filter("same", lambda x: x)) >= coverage * F.size("starts")
-    return pairs.where(consistent | verbatim).groupBy("doc_id", "item_id", "matched_windows", "item_windows").agg(
+    runs = F.when(F.size("same") >= RUN, F.sequence(F.lit(1), F.size("same") - RUN + 1)).otherwise(F.array().cast("array<int>"))
+    run = F.exists(runs, lambda k: F.forall(F.slice("same", k, RUN), lambda x: x))
+    leaks = pairs.where((enough & (consistent | verbatim)) | run).groupBy("doc_id", "item_id", "matched_windows", "item_windows").agg(
         (F.first("matched_windows") / F.first("item_windows")).alias("coverage"),
         F.max(F.size("slots")).cast("long").alias("n_slots"),
         F.max(F.exists("pairs", lambda p: p["item"] != p["doc"])).alias("reparameterised"),
     )
+    exact = items.where((F.size("starts") == 0) & (F.size("item_words") > 0)).select("item_id", "item_words", "template")
+    if exact.isEmpty():
+        return leaks
+    # an item may be here by one text and above by another: the row of more windows stays
+    both = leaks.union(exact_leaks(source, exact, width, broadcast_rows))
+    best = F.max_by(F.struct(*leaks.columns[2:]), F.struct("item_windows", "matched_windows")).alias("best")
+    return both.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+
+
+def exact_leaks(source: DataFrame, items: DataFrame, width: int, broadcast_rows: int) -> DataFrame:
+    """Rows like those of find_leaks for items that documents hold word for word: found by their first words, checked whole."""
+    lengths = [r[0] for r in items.select(F.least(F.size("item_words"), F.lit(width))).distinct().collect()]
+    anchors = items.select("item_id", F.least(F.size("item_words"), F.lit(width)).alias("n"), F.transform(F.slice("item_words", 1, width), lambda w: F.xxhash64(w)).alias("h"))
+    keys = None
+    for n in lengths:  # at most width of them
+        own = anchors.where(F.col("n") == n).select("item_id", F.xxhash64(F.lit(n), *(F.get("h", k) for k in range(n))).alias("hash"))
+        keys = own if keys is None else keys.union(own)
+    keys = written(keys.distinct(), "bench-anchors")
+    marked = F.broadcast if keys.count() <= broadcast_rows else (lambda df: df)
+    hashed = source.select("doc_id", F.transform(words(spaced(F.col("text"))), lambda w: F.xxhash64(w)).alias("h"))
+
+    def rolled(n: int) -> Column:
+        places = F.when(F.size("h") >= n, F.sequence(F.lit(0), F.size("h") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.xxhash64(F.lit(n), *(F.get("h", i + k) for k in range(n))))
+
+    starts = hashed.select("doc_id", F.explode(F.array_distinct(F.concat(*(rolled(n) for n in lengths)))).alias("hash"))
+    found = written(starts.join(marked(keys), "hash").select(F.col("doc_id").alias("leak_id"), "item_id").distinct(), "bench-anchored")
+    wanted = found.join(items, "item_id")
+    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("leak_id"))).select(
+        "doc_id", "item_id", "template", line(F.col("item_words")).alias("item_line"), line(words(spaced(F.col("text")))).alias("line")
+    )
+    return texts.where(F.col("line").contains(F.col("item_line"))).groupBy("doc_id", "item_id").agg(
+        F.lit(1).cast("long").alias("matched_windows"),
+        F.lit(1).cast("long").alias("item_windows"),
+        F.lit(1.0).alias("coverage"),
+        F.max(F.size(F.filter("template", lambda w: w.rlike(f"[{MARKS}]")))).cast("long").alias("n_slots"),
+        F.lit(False).alias("reparameterised"),
+    )

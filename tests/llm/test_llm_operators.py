@@ -152,6 +152,17 @@ def test_decontamination_of_edited_copies(spark):
     assert found == {(1, 0, False), (2, 0, False), (3, 1, True), (5, 0, False)}
 
 
+def test_decontamination_of_short_and_long_items(spark):
+    long = " ".join("w" + chr(97 + j % 26) + chr(97 + j // 26) for j in range(200))
+    part, less = " ".join(long.split()[70:130]), " ".join(long.split()[70:90])
+    bench = [(0, "What is 7 times 8?"), (1, "Compute 12 + 15 * 3 - 7 + 44 / 2."), (2, long), (3, "Paris"), (4, "What is 7 times 8?")]
+    docs = [(1, "so, what is 7 times 8? yes"), (2, "what is 7 times 9"), (3, "x compute 12 + 15 * 3 - 7 + 44 / 2"), (4, "compute 12 + 15 * 3 - 7 + 44 / 3"), (5, "a " + part + " b"), (6, less), (7, "in paris, now"), (None, "What is 7 times 8?"), (8, "parisian"), (9, None)]
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    for rows in (decontaminate.BROADCAST_ROWS, 0):
+        found = {(r.doc_id, r.item_id, r.n_slots) for r in decontaminate.find_leaks(docs, bench, broadcast_rows=rows).collect()}
+        assert found == {(1, 0, 2), (1, 4, 2), (None, 0, 2), (None, 4, 2), (3, 1, 6), (5, 2, 0), (7, 3, 0)}
+
+
 def test_token_counts(spark, docs):
     import sentencepiece
 
