@@ -31,7 +31,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Words without which ASSIGN cannot match, in lower case.
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
 ACCOUNT = re.compile(r"\b(?:user(?:name)?|login|account|client_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]{3,}", re.ASCII | re.IGNORECASE)
 ENDPOINT = re.compile(r"\b(?:https?|ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp|jdbc:[a-z]+)://[^\s\"'<>]+", re.ASCII | re.IGNORECASE)
 
@@ -59,10 +59,15 @@ class Parts:
             self.ends[k] = max(self.ends[k], self.ends[k - 1])
 
     def near(self, start: int, end: int, scope: int) -> bool:
-        """Whether a span other than [start, end) begins by end + scope and ends from start - scope on."""
+        """Whether a span begins by end + scope and ends from start - scope on."""
+        k = bisect_left(self.ends, start - scope)
+        return k < len(self.spans) and self.spans[k][0] <= end + scope
+
+    def beside(self, start: int, end: int, scope: int) -> bool:
+        """Whether a span that is near does not overlap [start, end): a part is no company for what it lies in."""
         k = bisect_left(self.ends, start - scope)
         while k < len(self.spans) and self.spans[k][0] <= end + scope:
-            if self.spans[k] != (start, end):
+            if self.spans[k][0] >= end or start - scope <= self.spans[k][1] <= start:
                 return True
             k += 1
         return False
@@ -75,17 +80,16 @@ def linked_spans(text: str, base: list[Span], scope: int = SCOPE) -> list[Span]:
     def candidates(kind: str, pattern: re.Pattern) -> list[Span]:
         return [(kind, *m.span()) for m in pattern.finditer(text) if not taken.near(m.start() + 1, m.end() - 1, 0)]
 
-    secrets = [x for x in candidates("secret", SECRET) if _mixed(text[x[1] : x[2]])] if base else []
-    accounts = candidates("account", ACCOUNT) if base else []
-    endpoints = candidates("endpoint", ENDPOINT) if "://" in text and base else []
-    if not (secrets or accounts or endpoints):
+    access, accounts = [x for x in base if x[0] == "access"], candidates("account", ACCOUNT)
+    if not (access or accounts):
         return []
-    identifiers = Parts([x for x in base if x[0] == "access"] + accounts)
+    secrets = [x for x in candidates("secret", SECRET) if _mixed(text[x[1] : x[2]])]
+    endpoints = candidates("endpoint", ENDPOINT) if "://" in text else []
+    identifiers = Parts(access + accounts)
     known = Parts([x for x in base if x[0] != "access"] + secrets)
-    access, strong = Parts([x for x in base if x[0] == "access"]), Parts([x for x in base if x[0] != "access"])
-    out = [x for x in secrets if access.near(*x[1:], scope) or (identifiers.near(*x[1:], scope) and strong.near(*x[1:], scope))]
-    out += [x for x in accounts if strong.near(*x[1:], scope)]
-    out += [x for x in endpoints if identifiers.near(*x[1:], scope) and known.near(*x[1:], scope)]
+    out = [x for x in secrets if identifiers.beside(*x[1:], scope)]
+    out += [x for x in accounts if known.beside(*x[1:], scope)]
+    out += [x for x in endpoints if identifiers.beside(*x[1:], scope) and known.beside(*x[1:], scope)]
     return out
 
 

@@ -197,6 +197,16 @@ def test_secrets(spark, docs):
     assert changed.where("doc_id = 7").select("text", "n_chars").first() == ("[assign]", 8) and changed.count() == len(TEXTS)
 
 
+def test_weak_parts_link_without_base_spans(spark):
+    key, safe = "aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0eF3hI6kL9n", "aB3dE6gH9-K2mN5pQ8sT1_W4yZ7bC0eF3hI6kL9n"
+    texts = [f"client_id=deploy01 {key} https://host/x", f"{safe} for user: bob", f"only {key} https://host/x", "login: anna https://host/x", f"account: {key}", f"login: anna {'x ' * 100} {key}", f"login: anna https://host/{key}"]
+    rows = {r.doc_id: r for r in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert rows[0].spans == "account:0:18,secret:19:59,endpoint:60:74" and rows[0].redacted == "[account] [secret] [endpoint]"
+    assert rows[1].spans == "secret:0:40,account:45:54"
+    assert [rows[k].spans for k in (2, 3, 4, 5)] == [""] * 4 and rows[6].redacted.startswith("[account] ")
+    assert all(r.n_assign + r.n_access + r.n_hex == 0 for r in rows.values())
+
+
 def test_warc(spark, tmp_path):
     pages = [(1, "http://a/ b\r\nX: y", "<p>é</p>", 1), (2, None, "<p>é</p>", 1), (3, "u", None, 1), (4, "u", "", 1), (5, "u", "WARC/1.1\r\nWARC-Type: revisit\r\n\r\n", 1), (None, "u", "z", 1)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string, sha256 int")
