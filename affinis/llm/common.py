@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,48 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row but maps and variants: rows alike in all columns have the same."""
+    kinds = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    return F.xxhash64(*(F.col(f"`{name}`") for name, kind in kinds if "map<" not in kind and "variant" not in kind))
+
+
+def without_rows(df: DataFrame, gone: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    """df without the rows whose row_hash is in gone (hash); of rows alike whose hash is in repeated (hash) one stays.
+
+    Both are written tables, so that Spark knows their size and broadcasts them only if small. Columns of any name stay.
+    """
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), row_hash(df).alias("hash"))
+    rows = rows.join(gone, "hash", "left_anti")
+    if repeated is not None and not repeated.isEmpty():
+        rows = rows.join(repeated, "hash", "left_anti").unionByName(rows.join(repeated, "hash", "left_semi").dropDuplicates(["hash"]))
+    return rows.select("row.*")
+
+
+#: Rows of one key that stay together at least, and the share of all rows that makes a key heavy.
+HEAVY_ROWS, HEAVY_SHARE = 500, 0.001
+
+
+def heavy_keys(many: DataFrame, key: str) -> DataFrame:
+    """(key, _parts) of the keys that have over HEAVY_SHARE of the rows of many, at most 1 / HEAVY_SHARE of them: how many tasks each needs."""
+    limit = max(HEAVY_ROWS, int(many.count() * HEAVY_SHARE))
+    parts = many.groupBy(key).agg(F.ceil(F.count("*") / limit).cast("int").alias("_parts")).where("_parts > 1")
+    return many.sparkSession.createDataFrame(parts.collect(), parts.schema)
+
+
+def salted_join(many: DataFrame, one: DataFrame, key: str, heavy: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """many joined with one (a row per key) on a column; the rows of heavy keys are dealt to several tasks by the hash of ``by``.
+
+    heavy comes from heavy_keys and is broadcast; of one only the rows of heavy keys are repeated, once per part.
+    """
+    if heavy.isEmpty():
+        return many.join(one, key)
+    marked = many.join(F.broadcast(heavy), key, "left")
+    salted = marked.withColumn("_salt", F.when(F.col("_parts") > 1, F.pmod(F.xxhash64(*by), F.col("_parts")).cast("int")).otherwise(0)).drop("_parts")
+    spread = one.join(F.broadcast(heavy), key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return salted.join(spread, [key, "_salt"]).drop("_salt")
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of edges (a long, b long): (node, component), component the smallest node reachable.
 

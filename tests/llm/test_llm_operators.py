@@ -68,6 +68,13 @@ def test_simhash_components(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_across_the_sign_bit(spark):
+    near = [0x7000_0000_0000_0000, -0x1000_0000_0000_0000, 0x7000_0000_0000_0003, -0x7000_0000_0000_0001]
+    links = simhash.fingerprint_links(spark.createDataFrame([(x,) for x in near], "fp long")).collect()
+    assert {frozenset(r) for r in links} <= {frozenset((a, b)) for a in near for b in near if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
+    assert {x for r in links for x in r} == set(near[:3])
+
+
 def test_near_copies_with_edits(spark):
     rng = np.random.default_rng(9)
     rows = []
@@ -93,10 +100,55 @@ def test_near_copies_are_all_found_and_verified(spark):
     rows.append((210, " ".join(hub[:180])))
     found = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     expected = {2 * g + 1: 2 * g for g in range(1, 40, 2)} | {d: 200 for d in (201, 202, 203, 204, 205, 210)}
-    assert found == expected | {1001: 1000, 1003: 1002}
+    assert found == expected | {1001: 1000, 1003: 1002, None: 1002}
     assert simhash.near_copies(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def brute_near(texts):
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        k = min(5, len(w))
+        sets.append(frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if w else frozenset())
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            n = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or 9 * n >= 4 * (len(sets[i]) + len(sets[j])):
+                a, b = group[i], group[j]
+                group = [min(a, b) if g in (a, b) else g for g in group]
+    return group
+
+
+@pytest.mark.parametrize("room", [simhash.CLUSTER_SHINGLES, 900])
+def test_near_copies_equal_brute_force(spark, room, monkeypatch):
+    monkeypatch.setattr(simhash.similar_links, "__defaults__", (room,))
+    rng = np.random.default_rng(7)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    texts = []
+    for g in range(25):
+        base = [vocabulary[k] for k in rng.integers(0, 3000, rng.integers(30, 160))]
+        for _ in range(rng.integers(1, 12)):
+            own = list(base)
+            for _ in range(rng.integers(0, 1 + len(base) // 22)):
+                at = rng.integers(0, len(own))
+                own[at : at + rng.integers(0, 2)] = [vocabulary[rng.integers(0, 3000)]] * rng.integers(0, 3)
+            texts.append(" ".join(own))
+    rows = simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    group = brute_near(texts)
+    assert {r.doc_id: r.component_id for r in rows} == {k: g for k, g in enumerate(group) if g != k} and len(rows) > 60
+
+
+def test_near_dedup_keeps_rows_apart(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, text, "a"), (2, text, "b"), (2, "a clean text under the same id", "c"), (None, text, "d"), (None, "clean without an id", "e"), (7, "twice", "f"), (7, "twice", "f"), (8, text + " more", "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hash string")
+    kept = simhash.without_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.hash for r in kept.collect()) == ["a", "c", "e", "f"]
+    assert simhash.without_near_copies(docs.limit(0)).count() == 0
+
+
 def test_long_buckets_in_blocks_lose_no_link(spark):
     rng = np.random.default_rng(4)
     center = int(rng.integers(0, 2**62))
