@@ -7,13 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.llm import decontaminate, packing, secrets, simhash, toxicity
-from affinis.llm.common import table, written
-
-
-def _without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """docs without the given doc_ids. Their table is written first, so that Spark knows its size and broadcasts it only if small."""
-    gone = written(ids.select(F.col("doc_id").alias("gone_id")).distinct(), label)
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+from affinis.llm.common import row_hash, table, without_rows, written
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,14 +17,15 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies; rows repeating one doc_id are one document."""
-    return _without(docs, simhash.near_copies(docs.select("doc_id", "text")), "near-copies")
+    """Keeps the row with the smallest doc_id of each group of near copies."""
+    return simhash.without_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold benchmark items, also with other values in their slots."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, leaks, "leaks")
+    rows = docs.select(row_hash(docs).alias("doc_id"), "text")  # a row is one document, whatever its doc_id
+    leaks = decontaminate.find_leaks(rows, table(spark, sf_dir, "benchmark"))
+    return without_rows(docs, written(leaks.select(F.col("doc_id").alias("hash")).distinct(), "leaks"))
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
