@@ -17,8 +17,8 @@ from affinis.llm.common import written
 WINDOW, LITERALS, COVERAGE = 6, 3, 0.4
 #: Consecutive windows, word for word, that make a leak of an item of any length: the share of an item of 60 words.
 RUN = 22
-#: Benchmark windows that are broadcast at most; more are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Benchmark windows (of two numbers) that are broadcast at most; more are joined by shuffle, every document window with one of SALTS copies of them.
+BROADCAST_ROWS, SALTS = 1_000_000, 16
 #: Placeholders: private-use characters.
 NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
 MARKS = f"{NAME}{NUMBER}{UNIT}"
@@ -73,14 +73,28 @@ def slot_shift(i: Column, width: int) -> Column:
     return F.when(F.exists(over, lambda w: w["shift"] == F.col("shift")), F.col("shift")).otherwise(F.when(F.size(over) > 0, F.get(over, 0)["shift"]).otherwise(beside))
 
 
+def hash_joined(rolled: DataFrame, known: DataFrame, small: bool) -> DataFrame:
+    """Document windows with those of the benchmark by hash; in a shuffle the rows of one common window go to SALTS tasks."""
+    if small:
+        return rolled.join(F.broadcast(known), "hash")
+    salted = rolled.withColumn("salt", F.pmod(F.col("text_key"), F.lit(SALTS)))
+    return salted.join(known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), ["hash", "salt"]).drop("salt")
+
+
+def texts_of(source: DataFrame, found: DataFrame, label: str) -> DataFrame:
+    """The distinct rows of source whose text_key is in found: only their keys, a written table, meet all documents, and only their texts move on."""
+    keys = written(found.select("text_key").distinct(), f"{label}-keys")
+    return written(source.join(keys, "text_key", "left_semi"), label).distinct()
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, item_id, matched_windows, item_windows, coverage, n_slots, reparameterised): the benchmark items that documents hold.
 
     A pair is reported where at least ``coverage`` of the item's windows occur in the document and its slots are consistent, or
     so many occur word for word, or ``RUN`` consecutive ones do; reparameterised tells that slot values differ. Items of fewer
     than ``width`` words, or without a window of ``LITERALS`` literal words, are one window as a whole and searched word for word.
-    Null and empty texts hold nothing; rows with one doc_id count as one document, and so do rows without one; items without
-    words are not searched; of items with one id each is searched with the windows of all; empty tables give no rows; further
+    Null and empty texts hold nothing; rows that share a doc_id, or have none, are searched text by text and give one row an item;
+    items without words are not searched; of items with one id each is searched with the windows of all; empty tables give no rows; further
     columns are ignored; texts of any length are read whole.
     """
     items = benchmark_items(benchmark)
@@ -94,19 +108,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cover
     marked = F.broadcast if small else (lambda df: df)
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rolled = windows(source.select("doc_id", template(spaced(F.col("text"))).alias("template")), ["doc_id"], width)
-    hits = rolled.join(marked(item_windows), "hash")
-    placed = hits.groupBy("doc_id", "item_id", "item_at").agg(F.min("at").alias("at"))
-    found = placed.groupBy("doc_id", "item_id").agg(
+    source = source.withColumn("text_key", F.xxhash64("text"))  # rows with one doc_id, or with none, stay apart by their texts
+    rolled = windows(source.select("doc_id", "text_key", template(spaced(F.col("text"))).alias("template")), ["doc_id", "text_key"], width)
+    placed = hash_joined(rolled, item_windows, small).groupBy("doc_id", "text_key", "item_id", "item_at").agg(F.min("at").alias("at"))
+    found = placed.groupBy("doc_id", "text_key", "item_id").agg(
         F.count("*").alias("matched_windows"),
         F.mode(F.col("at") - F.col("item_at"), True).alias("shift"),
         F.array_sort(F.collect_list(F.struct("item_at", (F.col("at") - F.col("item_at")).alias("shift")))).alias("placed"),
     )
     found = found.join(marked(sizes), "item_id").where((F.col("matched_windows") >= coverage * F.col("item_windows")) | (F.col("matched_windows") >= RUN))
-    found = written(found, "bench-found")  # with its size known, the next join is broadcast only if it is small
-
-    wanted = found.join(items, "item_id").withColumnRenamed("doc_id", "leak_id")
-    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("leak_id"))).select(
+    found = written(found, "bench-found")
+    texts = texts_of(source, found, "bench-texts").join(found.join(items, "item_id").withColumnsRenamed({"doc_id": "leak_id", "text_key": "leak_key"}), (F.col("text_key") == F.col("leak_key")) & F.col("doc_id").eqNullSafe(F.col("leak_id"))).select(
         "doc_id", "item_id", "matched_windows", "item_windows", "shift", "placed", "item_words", "starts", F.col("template").alias("item_template"), spaced(F.col("text")).alias("spaced")
     )
     both = texts.withColumns({"doc_words": words(F.col("spaced")), "doc_template": template(F.col("spaced"))})
@@ -131,11 +143,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cover
         F.max(F.exists("pairs", lambda p: p["item"] != p["doc"])).alias("reparameterised"),
     )
     exact = items.where((F.size("starts") == 0) & (F.size("item_words") > 0)).select("item_id", "item_words", "template")
-    if exact.isEmpty():
-        return leaks
-    # an item may be here by one text and above by another: the row of more windows stays
-    both = leaks.union(exact_leaks(source, exact, width, broadcast_rows))
-    best = F.max_by(F.struct(*leaks.columns[2:]), F.struct("item_windows", "matched_windows")).alias("best")
+    # an item may be found by several texts: the row of most windows stays
+    both = leaks if exact.isEmpty() else leaks.union(exact_leaks(source, exact, width, broadcast_rows))
+    best = F.max_by(F.struct(*leaks.columns[2:]), F.struct("item_windows", "matched_windows", "n_slots", "reparameterised")).alias("best")
     return both.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
@@ -148,17 +158,18 @@ def exact_leaks(source: DataFrame, items: DataFrame, width: int, broadcast_rows:
         own = anchors.where(F.col("n") == n).select("item_id", F.xxhash64(F.lit(n), *(F.get("h", k) for k in range(n))).alias("hash"))
         keys = own if keys is None else keys.union(own)
     keys = written(keys.distinct(), "bench-anchors")
-    marked = F.broadcast if keys.count() <= broadcast_rows else (lambda df: df)
-    hashed = source.select("doc_id", F.transform(words(spaced(F.col("text"))), lambda w: F.xxhash64(w)).alias("h"))
+    small = keys.count() <= broadcast_rows
+    hashed = source.select("doc_id", "text_key", F.transform(words(spaced(F.col("text"))), lambda w: F.xxhash64(w)).alias("h"))
 
     def rolled(n: int) -> Column:
         places = F.when(F.size("h") >= n, F.sequence(F.lit(0), F.size("h") - n)).otherwise(F.array().cast("array<int>"))
         return F.transform(places, lambda i: F.xxhash64(F.lit(n), *(F.get("h", i + k) for k in range(n))))
 
-    starts = hashed.select("doc_id", F.explode(F.array_distinct(F.concat(*(rolled(n) for n in lengths)))).alias("hash"))
-    found = written(starts.join(marked(keys), "hash").select(F.col("doc_id").alias("leak_id"), "item_id").distinct(), "bench-anchored")
-    wanted = found.join(items, "item_id")
-    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("leak_id"))).select(
+    starts = hashed.select("doc_id", "text_key", F.explode(F.array_distinct(F.concat(*(rolled(n) for n in lengths)))).alias("hash"))
+    found = hash_joined(starts, keys, small).select(F.col("doc_id").alias("leak_id"), "text_key", "item_id").distinct()
+    found = written(found, "bench-anchored")
+    wanted = found.join(items, "item_id").withColumnRenamed("text_key", "leak_key")
+    texts = texts_of(source, found, "bench-anchored-texts").join(wanted, (F.col("text_key") == F.col("leak_key")) & F.col("doc_id").eqNullSafe(F.col("leak_id"))).select(
         "doc_id", "item_id", "template", line(F.col("item_words")).alias("item_line"), line(words(spaced(F.col("text")))).alias("line")
     )
     return texts.where(F.col("line").contains(F.col("item_line"))).groupBy("doc_id", "item_id").agg(
