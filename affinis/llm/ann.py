@@ -6,8 +6,9 @@ as its cell's score plus a normal error of the quantisers' known spread, so the
 neighbour will have and the share of neighbours that the cells not yet walked may still hold. On clustered vectors few cells
 are walked, on shapeless ones many, at the same recall. All rows of walked cells are reranked by the exact inner product.
 
-Rows of cells are dealt to blocks of bounded size (large cells to several), queries to the blocks that they walk; each block
-returns its best rows per query, and only these meet again.
+Rows of cells are dealt to blocks of bounded size (large cells to several), queries with the score at which their walk ended to
+the blocks that they walk. A block's rows are read once and its queries stream past them; only a block with very many visits is
+repeated, once per so many. Each block returns its best rows per query, and only these meet again.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from pyspark.sql import functions as F
 
 from affinis.llm.common import written
 
-#: Centroids a half; rows that train them at most (those with the smallest hash of their id); rounds of training.
-CENTROIDS, SAMPLE_ROWS, ROUNDS = 32, 20_000, 12
-#: Share of the expected neighbours that the walked cells must hold; rows of a block; queries of a block.
-SHARE, BLOCK_ROWS, BLOCK_QUERIES = 0.98, 4096, 8192
+#: Rows for each of the K * K cells, which sets the centroids a half between these bounds; rows that train them at most (those with the smallest hash of their id); rounds of training.
+CELL_ROWS, FEWEST, MOST, SAMPLE_ROWS, ROUNDS = 16, 8, 256, 20_000, 12
+#: Share of the expected neighbours that the walked cells must hold; rows of a block; visits of a block in one task.
+SHARE, BLOCK_ROWS, BLOCK_VISITS = 0.98, 4096, 16_384
 
 
 def train_half(half: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -63,6 +64,10 @@ class MultiIndex:
         a, b = nearest(rows[:, : self.cut], self.books[0]), nearest(rows[:, self.cut :], self.books[1])
         return a * len(self.books[1]) + b
 
+    def scores(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each query's inner products with the centroids of both halves."""
+        return queries[:, : self.cut] @ self.books[0].T, queries[:, self.cut :] @ self.books[1].T
+
     def walk(self, query: np.ndarray, k: int, share: float) -> list[int]:
         """The non-empty cells to search for a query's k nearest rows, best first."""
         halves = query[: self.cut], query[self.cut :]
@@ -118,13 +123,18 @@ def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype("f8").reshape(-1, width)
 
 
-def search(embeddings: DataFrame, k: int = 20, every: int = 20, centroids: int = CENTROIDS, share: float = SHARE, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def centroids_for(rows: int) -> int:
+    """Centroids a half for so many rows: as many cells as CELL_ROWS rows each would fill."""
+    return min(MOST, max(FEWEST, math.ceil(math.sqrt(rows / CELL_ROWS))))
+
+
+def search(embeddings: DataFrame, k: int = 20, every: int = 20, centroids: int | None = None, share: float = SHARE, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, block_visits: int = BLOCK_VISITS) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest rows found of every query row, those whose id is divisible by ``every``.
 
     Nearness is the inner product in double precision; ties go to the smaller vec_id. Rows with a null id, or whose vector is
-    null, empty, zero, of another length than most, or holds null or non-finite components take no part; of repeated rows
-    with one id each is a candidate of other queries, and one of them is the query; fewer candidates than k are
-    all returned; an empty table gives no rows; further columns are ignored.
+    null, empty, zero, of another length than most (no inner product is defined), or holds null or non-finite components take no
+    part; of repeated rows with one id each is a candidate of other queries, and the one with the smallest vector is the query;
+    fewer candidates than k are all returned; an empty table gives no rows; further columns are ignored.
     """
     spark = embeddings.sparkSession
     vector = F.col(vector_col).cast("array<double>")
@@ -135,8 +145,8 @@ def search(embeddings: DataFrame, k: int = 20, every: int = 20, centroids: int =
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width, total = sizes[0], sizes[1]
     valid = valid.where(F.size("v") == width)
-    sample = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("v").toArrow()
-    index = MultiIndex(_matrix(sample.column(0), width), centroids)
+    sample = valid.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE_ROWS).select("v").toArrow()
+    index = MultiIndex(_matrix(sample.column(0), width), centroids or centroids_for(total))
 
     def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,50 +164,63 @@ def search(embeddings: DataFrame, k: int = 20, every: int = 20, centroids: int =
             block, room = block + 1, block_rows
         first_block[cell], n_blocks[cell] = block, -(-n // block_rows)
         block, room = (block + int(n_blocks[cell]), block_rows) if n > block_rows else (block, room - n)
-    query_blocks = max(1, -(-(total // every) // BLOCK_QUERIES))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, cells = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            blocks = first_block[cells] + ids % n_blocks[cells]
-            yield pa.record_batch([pa.array(blocks), *batch.columns], ["block", "vec_id", "v", "cell"])
+            mixed = ((ids.view("u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype("i8")
+            blocks = first_block[cells] + mixed % n_blocks[cells]
+            yield pa.record_batch([pa.array(blocks), *batch.columns], ["block", "id", "v", "cell"])
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, vectors = batch.column(0).to_pylist(), _matrix(batch.column(1), width)
-            for at in range(len(ids)):
-                by_block: dict[int, list[int]] = {}
-                for cell in index.walk(vectors[at], k, share):
-                    for b in range(first_block[cell], first_block[cell] + n_blocks[cell]):
-                        by_block.setdefault(int(b), []).append(cell)
-                yield pa.record_batch(
-                    [
-                        pa.array(list(by_block), pa.int64()), pa.array([ids[at] // every % query_blocks] * len(by_block), pa.int64()), pa.array([ids[at]] * len(by_block), pa.int64()),
-                        pa.array([vectors[at]] * len(by_block), pa.list_(pa.float64())), pa.array(list(by_block.values()), pa.list_(pa.int64())),
-                    ],
-                    ["block", "part", "query_id", "q", "cells"],
-                )
-
-    def ranked(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if rows.num_rows and queries.num_rows:
-            ids, cells = rows.column("vec_id").to_numpy(), rows.column("cell").to_numpy()
-            order = np.argsort(ids, kind="stable")
-            ids, cells, vectors = ids[order], cells[order], _matrix(rows.column("v"), width)[order]
-            for at in range(0, queries.num_rows, 256):
-                part = queries.slice(at, 256)
-                matrix = _matrix(part.column("q"), width)
-                rough = matrix @ vectors.T
-                for query_id, query, scores, own in zip(part.column("query_id").to_pylist(), matrix, rough, part.column("cells").to_pylist()):
-                    found, exact = best_rows(query, query_id, ids, vectors, np.where(np.isin(cells, own), scores, -np.inf), k)
-                    out.append((np.full(len(found), query_id), found, exact))
-        columns = [np.concatenate(c) for c in zip(*out)] or [np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0)]
-        return pa.table({"query_id": columns[0].astype("i8"), "vec_id": columns[1].astype("i8"), "score": columns[2].astype("f8")})
-
-    blocks = indexed.mapInArrow(dealt, "block long, vec_id long, v array<double>, cell long")
-    blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
-    queries = indexed.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"]).select("vec_id", "v")
-    visits = queries.mapInArrow(walked, "block long, part long, query_id long, q array<double>, cells array<long>")
-    found = blocks.groupBy("block", "part").cogroup(visits.groupBy("block", "part")).applyInArrow(ranked, "query_id long, vec_id long, score double")
+            for own, query in zip(ids, vectors):
+                cells = np.array(index.walk(query, k, share))
+                one, two = index.scores(query[None])
+                least = float((one[0, cells // two.shape[1]] + two[0, cells % two.shape[1]]).min())
+                blocks = np.unique(np.concatenate([np.arange(b, b + n) for b, n in zip(first_block[cells], n_blocks[cells])]))
+                rows = len(blocks)
+                columns = [pa.array(blocks), pa.array([own] * rows, pa.int64()), pa.array([query] * rows, pa.list_(pa.float64())), pa.array([least] * rows)]
+                yield pa.record_batch(columns, ["block", "id", "v", "least"])
+
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows in the order of block, part, kind and id: the rows of a block (kind 0), then the queries that visit it (kind 1)."""
+        here, parts, rows = None, [], None
+        for batch in batches:
+            blocks, part, kinds, ids, cells, least = (batch.column(n).to_numpy() for n in ("block", "part", "kind", "id", "cell", "least"))
+            vectors = _matrix(batch.column("v"), width)
+            changed = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(part) != 0) | (np.diff(kinds) != 0)) + 1
+            for at, to in zip([0, *changed.tolist()], [*changed.tolist(), batch.num_rows]):
+                if at == to:
+                    continue
+                if here != (blocks[at], part[at]):
+                    here, parts, rows = (blocks[at], part[at]), [], None
+                if kinds[at] == 0:
+                    parts.append((ids[at:to], cells[at:to], vectors[at:to]))
+                    continue
+                if rows is None:
+                    rows = [np.concatenate(c) for c in zip(*parts)]
+                for start in range(at, to, 256):
+                    own = slice(start, min(start + 256, to))
+                    one, two = index.scores(vectors[own])
+                    reach = one[:, rows[1] // two.shape[1]] + two[:, rows[1] % two.shape[1]]
+                    rough = np.where(reach >= least[own, None] - 1e-9, vectors[own] @ rows[2].T, -np.inf)
+                    out = [(q, *best_rows(v, q, rows[0], rows[2], r, k)) for q, v, r in zip(ids[own], vectors[own], rough)]
+                    columns = [np.concatenate([np.full(len(found), q) for q, found, _ in out]), np.concatenate([o[1] for o in out]), np.concatenate([o[2] for o in out])]
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
+
+    queries = indexed.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = queries.repartition(2 * spark.sparkContext.defaultParallelism, "vec_id")  # the walks are the work, however small the table
+    visits = written(queries.mapInArrow(walked, "block long, id long, v array<double>, least double"), "ann-visits")
+    parts = visits.groupBy("block").agg(F.ceil(F.count("*") / block_visits).alias("parts"))
+    rows = indexed.mapInArrow(dealt, "block long, id long, v array<double>, cell long").join(parts, "block")
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    calls = visits.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    both = rows.select("block", "part", F.lit(0).alias("kind"), "id", "v", "cell", F.lit(0.0).alias("least")).union(
+        calls.select("block", "part", F.lit(1), "id", "v", F.lit(0).cast("long"), "least")
+    )
+    met = both.repartition("block", "part").sortWithinPartitions("block", "part", "kind", "id")
+    found = met.mapInArrow(ranked, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -229,7 +229,7 @@ def test_neighbours(spark):
     vectors = [(k, [float(x) for x in rng.normal(size=8)], 0) for k in range(120)] + [(k, [1.0] * 8, 0) for k in range(120, 180)]
     odd = [(500, None, 0), (520, [0.0] * 8, 0), (540, [1.0, None] + [0.0] * 6, 0), (560, [float("nan")] * 8, 0), (580, [1.0], 0), (None, [1.0] * 8, 0)]
     df = spark.createDataFrame(vectors + odd, "vec_id long, embedding array<float>, score int")
-    rows = ann.search(df, k=5, every=20, centroids=4, share=1.0, block_rows=32).collect()
+    rows = ann.search(df, k=5, every=20, centroids=4, share=1.0, block_rows=32, block_visits=3).collect()
     x = np.array([v for _, v, _ in vectors], "f4").astype("f8")
     expected = []
     for q in range(0, 180, 20):
@@ -239,6 +239,8 @@ def test_neighbours(spark):
     own = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in rows)
     assert [o[:3] for o in own] == [e[:3] for e in expected] and np.allclose([o[3] for o in own], [e[3] for e in expected])
     assert ann.search(df.limit(0)).count() == 0 and ann.search(df.where("vec_id in (0, 1)"), k=5).count() == 1
+    again = ann.search(df.where("vec_id in (0, 1, 2)").union(df.where("vec_id in (0, 1)")), k=5).collect()
+    assert sorted(r.vec_id for r in again) == [1, 1, 2]
 
 
 def test_secrets(spark, docs):
