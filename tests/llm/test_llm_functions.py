@@ -87,6 +87,44 @@ def test_html():
     assert html_text.main_text("<div>" * 20000 + "</div>" * 20000) == ""
 
 
+PROSE = " ".join(f"word{k}" for k in range(85))
+
+
+@pytest.mark.parametrize("around", ["{}", "<nav><a href=x>Home</a><a href=y>More</a></nav>{}<footer>bye now</footer>"])
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="content with-sidebar"><h1>A title</h1><p>{}</div>', '<article class="post search-results"><p>{}</article>', '<article><section id="discussion"><p>{}</section></article>',
+        '<article><div id="notice-period"><p>{}</div></article>', '<form id="aspnetForm"><div><p>{}</div></form>', '<div id="reply"><article><p>{}</article></div>',
+    ],
+)
+def test_names_alone_drop_no_article(page, around):
+    text = html_text.main_text("<html><body>" + around.format(page.format(PROSE)) + "</body></html>")
+    assert text.endswith(PROSE) and "Home" not in text and "bye" not in text
+
+
+def test_blocks_without_names():
+    rnd = random.Random(3)
+    prose = lambda n: " ".join(rnd.choice(["lorem", "ipsum", "dolor", "sit", "amet"]) for _ in range(n))
+    lost = leaked = kept = dropped = 0
+    for _ in range(300):
+        article = [prose(rnd.choice([1, 3, 6, 20, 60, 150])) for _ in range(rnd.randint(3, 9))] + [prose(90)]
+        menu = "".join(f"<li><a href=x>M{prose(1)}</a></li>" for _ in range(rnd.randint(2, 8)))
+        side = [f"S{prose(rnd.randint(2, 12))}" for _ in range(rnd.randint(1, 3))]
+        page = f"<div><ul>{menu}</ul></div>" + "".join(f"<div>{x}</div>" for x in side) + "<article><h1>A title</h1>" + "".join(f"<p>{x}</p>" for x in article) + "</article><div>F bye</div>"
+        text = html_text.main_text(page).split("\n")
+        lost, kept = lost + sum(x not in text for x in article), kept + len(article)
+        leaked, dropped = leaked + sum(x[0] in "MSF" for x in text), dropped + len(side) + menu.count("<li>") + 1
+    assert lost == 0 and leaked < 0.05 * dropped
+
+
+def test_pages_by_words_and_links_alone():
+    item = "<li><a href=x>one item</a></li>"
+    page = f"<div><ul>{item * 6}</ul></div><div><h2>A title of it</h2><p>{PROSE}</p><p>{PROSE} <a href=x>more</a></p></div><div><ul>{item * 4}</ul></div>"
+    assert html_text.main_text(page) == f"A title of it\n{PROSE}\n{PROSE} more"
+    assert html_text.main_text(f"<ul>{item * 9}</ul>") == ""
+
+
 def test_base_spans_equal_the_definition():
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
     rnd = random.Random(4)

@@ -183,6 +183,14 @@ def test_html(spark):
     assert sorted(map(str, html_text.extract(pages).collect())) == sorted(["Row(page_id=1, url='u', text='Hello you', n_chars=9)", "Row(page_id=2, url=None, text='', n_chars=0)", "Row(page_id=None, url='u', text='', n_chars=0)"])
 
 
+def test_html_tables(spark):
+    long = "<article><p>" + "word " * 300_000 + "</p></article>"
+    rows = [(1, "u", long, 5), (1, "u", long, 5), (2, "v", "<p>", 6), (2, "v", "<p>", 6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
+    assert sorted((r.page_id, r.n_chars) for r in html_text.extract(pages).collect()) == [(1, 1_499_999)] * 2 + [(2, 0)] * 2
+    assert html_text.extract(pages.limit(0)).count() == 0 and html_text.extract(pages).columns == ["page_id", "url", "text", "n_chars"]
+
+
 def test_decontamination(spark):
     item = "Sue has 12.5kg of apples and gives 3,000 to Anna Maria Bell every day until 12.5kg remain in the box."
     new = "x Bob has 7 kg of apples and gives 90 to Carla Eve Smith every day until {} kg remain in the box. tail"
