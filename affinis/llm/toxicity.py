@@ -19,11 +19,11 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labelled rows that train the model at most: those with the smallest hash of their id, by label.
-TOXIC_ROWS, ORDINARY_ROWS = 1500, 3000
+#: Labelled rows that train the model at most: those with the smallest hash of their id, by label; and bytes of their texts, in the same order.
+TOXIC_ROWS, ORDINARY_ROWS, TRAIN_BYTES = 1500, 3000, 64_000_000
 #: Bytes of a window: below what zstandard entropy-codes literals from, so that lengths differ by matches alone.
 WINDOW = 56
 #: A class segment is in this share of its class's texts (and in this many), and this many times likelier there.
@@ -37,25 +37,38 @@ WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 CUT = re.compile(rb"(?s).{1,%d}(?=\s|\Z)|.{1,%d}" % (WINDOW, WINDOW))
 
 
-def segments(text: bytes) -> set[bytes]:
-    """Beginnings of 4 to 12 bytes of the words of a text, and its words whole."""
-    found = set()
-    for word in set(WORD.findall(text)):
-        found.update(b" " + word[:k] for k in range(4, min(len(word), 12) + 1))
-        if 3 < len(word) < 15:
-            found.add(b" " + word + b" ")
-    return found
+def word_segments(word: bytes) -> list[bytes]:
+    """Beginnings of 4 to 12 bytes of a word, and a word of 4 to 14 whole."""
+    found = [b" " + word[:k] for k in range(4, min(len(word), 12) + 1)]
+    return found + [b" " + word + b" "] * (3 < len(word) < 15)
 
 
-def class_segments(own: list[bytes], other: list[bytes]) -> bytes:
+class Segments:
+    """The segments of texts, by number: each text's are found once, whatever they are counted for."""
+
+    def __init__(self, texts: Iterable[bytes]):
+        names: dict[bytes, int] = {}
+        of: dict[bytes, list[int]] = {}
+        self.by_text = {}
+        for text in texts:
+            words = set(WORD.findall(text))
+            for word in (w for w in words if w not in of):
+                of[word] = [names.setdefault(s, len(names)) for s in word_segments(word)]
+            self.by_text[text] = np.unique(np.fromiter((k for word in words for k in of[word]), "i4"))
+        self.names = list(names)
+
+    def counts(self, texts: list[bytes]) -> np.ndarray:
+        """In how many of the texts each segment is."""
+        return np.bincount(np.concatenate([np.zeros(0, "i4"), *(self.by_text[t] for t in texts)]), minlength=len(self.names))
+
+
+def class_segments(own: list[bytes], other: list[bytes], known: Segments) -> bytes:
     """Segments typical of own against other, the most telling last."""
-    n = Counter(s for text in own for s in segments(text))
-    least = max(LEAST, SHARE * len(own))
-    n = {s: k for s, k in n.items() if k >= least}
-    against = Counter(s for text in other for s in segments(text) if s in n)
-    telling = [(k * len(s), s) for s, k in n.items() if k / len(own) > RATIO * (against[s] + 0.25) / max(1, len(other))]
+    n, against = known.counts(own), known.counts(other)
+    frequent = n >= max(LEAST, SHARE * len(own))
+    telling = np.flatnonzero(frequent & (n / max(1, len(own)) > RATIO * (against + 0.25) / max(1, len(other))))
     out = b""
-    for _, segment in sorted(telling, reverse=True):
+    for _, segment in sorted(((int(n[k]) * len(known.names[k]), known.names[k]) for k in telling), reverse=True):
         if segment not in out and len(out) + len(segment) <= SEGMENT_BYTES:
             out = segment + out
     return out
@@ -125,10 +138,11 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def dictionaries(rows: list[tuple[str, int]]) -> Model:
+def dictionaries(rows: list[tuple[str, int]], known: Segments | None = None) -> Model:
     """A model without calibration."""
     toxic, ordinary = ([t.lower().encode() for t, y in rows if y == k] for k in (1, 0))
-    own, other = class_segments(toxic, ordinary), class_segments(ordinary, toxic)
+    known = known or Segments(toxic + ordinary)
+    own, other = class_segments(toxic, ordinary, known), class_segments(ordinary, toxic, known)
     shared = shared_part(ordinary, own)
     return Model(own + shared, other + shared)
 
@@ -158,12 +172,13 @@ def train(rows: list[tuple[str, int]], prior: float | None = None) -> Model:
             folds[k % 2].append(row)
     if any({y for _, y in fold} != {0, 1} for fold in folds):
         return Model(b"", b"", [], prior)
+    known = Segments(t.lower().encode() for t, _ in rows)
     features, labels = [], []
     for own, other in (folds, folds[::-1]):
-        model = dictionaries(own)
+        model = dictionaries(own, known)
         features += [model.features(t) for t, _ in other]
         labels += [y for _, y in other]
-    model = dictionaries(rows)
+    model = dictionaries(rows, known)
     model.weights, model.prior = calibrated(features, labels), prior
     if 0 < prior < 1:
         model.weights[0] += math.log(prior / (1 - prior)) - math.log(share / (1 - share))
@@ -175,15 +190,19 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS) -> Model:
-    """The model of the labelled rows that are not held out, from a bounded sample of each label."""
+def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS, train_bytes: int = TRAIN_BYTES) -> Model:
+    """The model of the labelled rows that are not held out, from a bounded sample of each label.
+
+    Ids with contradicting labels teach nothing; of several texts under one id the smallest is taken.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
-    known = known.where(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("most")).where("y = most").select("doc_id", "y")
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     sample = known.where("y = 1").orderBy(*order).limit(toxic_rows).union(known.where("y = 0").orderBy(*order).limit(ordinary_rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = texts.join(F.broadcast(sample), "doc_id")  # toxic_rows + ordinary_rows at most
-    rows = [(r.text, r.y) for r in found.select("text", "y").collect()]
+    found = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # toxic_rows + ordinary_rows at most
+    taken = F.sum(F.octet_length("text")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = [(r.text, r.y) for r in found.withColumn("taken", taken).where(F.col("taken") <= train_bytes).select("text", "y").collect()]
     counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     return train(rows, counts.get(1, 0) / max(1, sum(counts.values())))
 
