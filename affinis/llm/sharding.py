@@ -1,7 +1,9 @@
 """Minimax contiguous partition of ordered atomic groups, with DataFrame operations only.
 
-Rows are ordered by the digest of their text, so equal texts are neighbours and form one atomic group; a range partitioning
-on (digest, id) gives every row its running size without any task seeing more than its share, even of one huge group.
+Rows are ordered by the digest of their text, so equal texts are neighbours and form one atomic group. Digests are spread evenly,
+so their first bits cut the order into slices of known size without a look at the data; a group larger than a slice follows the
+rest of its slice, in parts of its own. Running sizes are summed within parts, over the parts of a stretch, and over stretches, so
+no task sees more than its share.
 The smallest capacity for which a greedy cut needs at most ``shards`` shards is found by binary search. The driver holds no
 list of groups for that, only the least and greatest group end in each of some thousand intervals: with these it runs the
 greedy check once pessimistically and once optimistically, and asks again, more finely, only where the two still differ.
@@ -16,8 +18,14 @@ from pyspark.sql import functions as F
 
 from affinis.llm.common import written
 
-#: Rows of one ordered slice, and intervals that one look at the group ends returns at most.
-SLICE_ROWS, INTERVALS = 100_000, 8192
+#: Rows of one ordered slice; stretches of slices; and intervals that one look at the group ends returns at most.
+SLICE_ROWS, STRETCHES, INTERVALS = 100_000, 1024, 8192
+
+
+def earlier(rows: DataFrame, order: Window) -> DataFrame:
+    """rows with s and n summed over the rows before each."""
+    above = order.rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumns({c: F.coalesce(F.sum(c).over(above), F.lit(0)) for c in ("s", "n")})
 
 
 def ordered_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -33,13 +41,24 @@ def ordered_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "shard-rows",
     )
     slices = max(1, -(-light.count() // SLICE_ROWS))
-    dealt = written(light.repartitionByRange(slices, "digest", "doc_id").withColumn("slice", F.spark_partition_id()), "shard-slices")
-    within = Window.partitionBy("slice").orderBy("digest", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # one row per slice
-    before = dealt.groupBy("slice").agg(F.sum("size").alias("s"), F.count("*").alias("n")).select(
-        "slice", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n")
+    stretches = min(slices, STRETCHES)
+    large = light.groupBy("digest").agg(F.ceil(F.count("*") / SLICE_ROWS).alias("parts")).where("parts > 1")
+    large = written(large, "shard-large")  # a row per SLICE_ROWS rows at most
+    first_bits = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long")
+    dealt = light.join(large, "digest", "left").withColumns(
+        {
+            "slice": F.shiftright(first_bits * F.lit(slices), 32),
+            "own": F.when(F.col("parts") > 1, F.col("digest")).otherwise(F.lit(b"")),
+            "part": F.when(F.col("parts") > 1, F.pmod(F.xxhash64("doc_id"), F.col("parts"))).otherwise(0),
+        }
     )
-    running = dealt.withColumns({"own_s": F.sum("size").over(within), "own_n": F.count("*").over(within)}).join(before, "slice")
+    piece, totals = ("slice", "own", "part"), (F.sum("size").alias("s"), F.count("*").alias("n"))
+    within = Window.partitionBy(*piece).orderBy("digest", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = dealt.groupBy(*piece).agg(*totals).withColumn("stretch", F.floor(F.col("slice") * stretches / F.lit(slices)))
+    before = earlier(pieces, Window.partitionBy("stretch").orderBy(*piece))
+    above = earlier(pieces.groupBy("stretch").agg(F.sum("s").alias("s"), F.sum("n").alias("n")), Window.orderBy("stretch"))  # STRETCHES rows at most
+    before = before.join(above.withColumnsRenamed({"s": "above_s", "n": "above_n"}), "stretch").select(*piece, (F.col("s") + F.col("above_s")).alias("s"), (F.col("n") + F.col("above_n")).alias("n"))
+    running = dealt.withColumns({"own_s": F.sum("size").over(within), "own_n": F.count("*").over(within)}).join(before, [*piece])
     return written(
         running.select(
             "doc_id", "size", "text_crc32", "digest", (F.col("s") + F.col("own_s")).alias("upto_size"), (F.col("n") + F.col("own_n")).alias("upto_rows")
