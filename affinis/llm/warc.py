@@ -26,8 +26,8 @@ def sha1_base32(data: Column) -> Column:
 
 
 def _record_id(page_id: Column) -> Column:
-    """A record's identifier, from its page."""
-    name = F.md5(F.coalesce(page_id.cast("string"), F.lit("")).cast("binary"))
+    """A record's identifier, from its page and payload: rows repeating both are one record said twice."""
+    name = F.md5(F.concat_ws(" ", F.coalesce(page_id.cast("string"), F.lit("")), "sha256").cast("binary"))
     spans = [F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *spans), F.lit(">"))
 
