@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (local runs)."""
+    """The folder all executors share: spark.checkpoint.dir. Where that is unset a local session gets a temporary one, and any other an error."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="affinis-shared-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -28,22 +34,46 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/affinis/{label}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables that written() made and that nothing has removed yet, in order.
+_paths: list[str] = []
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def written_so_far() -> int:
+    """A mark for forget_since()."""
+    return len(_paths)
+
+
+def forget_since(spark: SparkSession, mark: int, *kept: DataFrame) -> None:
+    """Deletes the tables made by written() since a mark, but those kept: for a caller whose results no longer need them."""
+    files = [file for df in kept for file in df.inputFiles()[:1]]
+    for path in _paths[mark:]:
+        if not any(path.rsplit("/", 1)[-1] in file for file in files):
+            _remove(spark, path)
+            _paths.remove(path)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage, and is computed once however often it is read.
 
     The files outlive any executor, so a lost one costs only the tasks it was running.
     """
     path = shared_path(df.sparkSession, label)
+    _paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def forget(df: DataFrame) -> None:
     """Deletes the files of a table made by written() that no live plan reads any more."""
-    spark = df.sparkSession
     for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        for path in [p for p in _paths if p.rsplit("/", 1)[-1] == file.rsplit("/", 2)[-2]]:
+            _remove(df.sparkSession, path)
+            _paths.remove(path)
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -88,6 +118,28 @@ def salted_join(many: DataFrame, one: DataFrame, key: str, heavy: DataFrame, by:
     return salted.join(spread, [key, "_salt"]).drop("_salt")
 
 
+def tokenizer_file(path: str) -> str:
+    """The tokenizer file on this machine: the path itself, or where a worker has the public tokenizers elsewhere, its own file of that name."""
+    if os.path.exists(path):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path(os.path.basename(path))
+
+
+#: What releases the caches of the operator that this Python worker served last, and that operator.
+_held: list = []
+
+
+def holding(owner: str, release: Callable[[], None]) -> None:
+    """Says that owner's caches fill from now on: those of another operator that this worker served before are released."""
+    if _held and _held[0] != owner:
+        _held[1]()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    _held[:] = owner, release
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of edges (a long, b long): (node, component), component the smallest node reachable.
 

@@ -20,10 +20,10 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinis.llm.common import written
+from affinis.llm.common import holding, tokenizer_file, written
 
 #: Pieces that one numbering group holds on average, and words that a worker remembers.
-GROUP_ROWS, CACHE_WORDS, CACHE_PARTS = 100_000, 300_000, 150_000
+GROUP_ROWS, CACHE_WORDS, CACHE_PARTS = 20_000, 300_000, 150_000
 RANK_BITS = 40
 
 
@@ -81,7 +81,7 @@ _encoders: dict[str, WordEncoder] = {}
 def encoder(path: str) -> WordEncoder:
     """This process's encoder for a tokenizer file."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = WordEncoder(tokenizer_file(path))
     return _encoders[path]
 
 
@@ -89,6 +89,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id
     """Documents as token pieces of at most ``capacity``: (doc_id, piece, start, length, ids_crc32[, ids])."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holding("packing", _encoders.clear)
         encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh64_intdigest
 
-from affinis.llm.common import components, forget, heavy_keys, row_hash, salted_join, without_rows, written
+from affinis.llm.common import components, forget, heavy_keys, holding, row_hash, salted_join, without_rows, written
 
 #: Lowest bit and width of the segments; distance that links; rows of a bucket that are compared at once.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -334,6 +334,7 @@ def _signature(words: list[bytes]) -> int:
 
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, hash, text) as (doc_id, hash, sig, bits, decoded): a hash of all words, 64 fingerprint bits and the decoded segments (null without words)."""
+    holding("simhash", _codewords.cache_clear)
     for batch, words in _split(batches, 2):
         counts = np.array([bit_counts(w) for w in words])
         indices, agreement = soft_indices(counts)

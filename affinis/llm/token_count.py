@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinis.llm.common import holding, tokenizer_file
+
 #: Words that a worker remembers.
 CACHE_WORDS = 600_000
 SPACE = "▁"
@@ -101,7 +103,7 @@ _counters: dict[str, PieceCounter] = {}
 def counter(path: str) -> PieceCounter:
     """This process's counter for a model file."""
     if path not in _counters:
-        _counters[path] = PieceCounter(path)
+        _counters[path] = PieceCounter(tokenizer_file(path))
     return _counters[path]
 
 
@@ -113,6 +115,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
     """
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holding("token_count", _counters.clear)
         count = counter(model).count
         for batch in batches:
             tokens, sizes = [], []

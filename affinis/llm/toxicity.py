@@ -22,6 +22,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinis.llm.common import holding
+
 #: Labelled rows that train the model at most: those with the smallest hash of their id, by label; and bytes of their texts, in the same order.
 TOXIC_ROWS, ORDINARY_ROWS, TRAIN_BYTES = 1500, 3000, 64_000_000
 #: Bytes of a window: below what zstandard entropy-codes literals from, so that lengths differ by matches alone.
@@ -232,6 +234,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> Data
     at = docs.columns.index("text")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holding("toxicity", lambda: None)
         for batch in batches:
             mask = [model.score(text.as_py() or "") < threshold for text in batch.column(at)]
             yield batch.filter(pa.array(mask, pa.bool_()))

@@ -357,3 +357,43 @@ def test_pipeline(spark, tmp_path):
     assert kept == [{0, 1, 2, 3, 4, 5}, {0, 2, 3, 4, 5}, {0, 2, 4, 5}, {0, 2, 4, 5}]
     assert docs.where("doc_id = 2").first().text.endswith(" [assign]")
     assert {r.doc_id for r in pipeline.run(spark, str(tmp_path)).collect()} == {0, 2, 4, 5}
+
+
+def test_pipeline_stages_on_hard_rows(spark, tmp_path):
+    """Toxic rows that are learnt from labels, clashing columns, shared and missing ids, repeated rows, long and empty texts."""
+    pipeline = importlib.import_module("corpus_pipeline")
+    rng = np.random.default_rng(21)
+    common = [f"{a}{b}" for a in ("al", "be", "co", "di", "en") for b in ("mor", "tal", "vin", "res", "lon", "dar")]
+    prose = lambda n: " ".join(common[k] + chr(97 + rng.integers(0, 26)) * rng.integers(0, 3) for k in rng.integers(0, len(common), n))
+    rows, labels = [], []
+    for k in range(240):
+        bad = k % 4 == 0
+        rows.append((k, prose(40) + (" you zorkhead and vileling zorkhead " + prose(5) if bad else ""), "x"))
+        labels.append((k, 0, int(bad)))
+    item = "x" + prose(1) + " the quick benchmark asks how many red apples Tom has after he eats seven of them " + prose(8)
+    clean, long = prose(50), prose(30_000)
+    rows += [(300, clean, "first"), (300, prose(60), "same id, other text"), (301, clean, "copy"), (None, prose(30) + " " + item, "leak"), (None, prose(70), "no id, clean"), (302, long, "long"), (303, long + " more", "long copy"), (304, "", "empty"), (305, None, "null"), (306, prose(45), "twice"), (306, None, "y")]
+    rows += [rows[-2]]
+    schema = "doc_id long, text string, gone_id string, hash long, row string"
+    spark.createDataFrame([(d, t, g, 7, "r") for d, t, g in rows], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    seen = []
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        docs = pipeline.written(docs, "stage")
+        assert docs.columns == ["doc_id", "text", "gone_id", "hash", "row"]
+        seen.append(sorted((r.doc_id if r.doc_id is not None else -1, r.gone_id) for r in docs.select("doc_id", "gone_id").collect() if r.gone_id != "x"))
+    kept_x = docs.where("gone_id = 'x'").count()
+    assert kept_x <= 190 and docs.where("gone_id = 'x' and text like '%zorkhead%'").count() <= 6 and docs.where("gone_id = 'x' and text not like '%zorkhead%'").count() == 180
+    names = [[g for _, g in s] for s in seen]
+    assert len(names[0]) == 12
+    assert sorted(names[1]) == sorted(["first", "same id, other text", "leak", "no id, clean", "long", "empty", "twice"])
+    assert sorted(names[2]) == sorted(n for n in names[1] if n != "leak") and names[3] == names[2]
+    packed = pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    empty = tmp_path / "none"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(str(tmp_path / f"{name}.parquet")).limit(0).write.parquet(str(empty / f"{name}.parquet"))
+    assert pipeline.run(spark, str(empty)).count() == 0
