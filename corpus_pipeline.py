@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.llm import decontaminate, packing, secrets, simhash, toxicity
-from affinis.llm.common import row_hash, table, without_rows, written
+from affinis.llm.common import forget_since, row_hash, table, without_rows, written, written_so_far
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,13 +46,14 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: SQL cannot express the first, second and last stage; tests compare every stage with a brute-force version.
+#: SQL cannot express the first, second and last stage; tests hold the stages against brute force on small tables.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over documents, each written as Parquet and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn over documents, each written as Parquet and read again by the next; a stage's own tables go once it is written."""
+    docs, mark = table(spark, sf_dir, "documents"), written_so_far()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        forget_since(spark, mark, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
