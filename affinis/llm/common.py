@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -132,12 +133,16 @@ _held: list = []
 
 
 def holding(owner: str, release: Callable[[], None]) -> None:
-    """Says that owner's caches fill from now on: those of another operator that this worker served before are released."""
+    """Says at a task's start that owner's caches fill from now on: those of another operator that this worker served before are
+    released, and memory that is free within the process goes back to the machine."""
     if _held and _held[0] != owner:
         _held[1]()
         gc.collect()
-        pa.default_memory_pool().release_unused()
     _held[:] = owner, release
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
