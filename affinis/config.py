@@ -26,8 +26,9 @@ class Blocking:
 class Boosting:
     n_estimators: int = 2000
     learning_rate: float = 0.05
-    max_depth: int = 5
+    num_leaves: int = 63
     min_child_samples: int = 20
+    scale_pos_weight: float = 1.0
 
 
 @dataclass(frozen=True)

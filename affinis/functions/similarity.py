@@ -92,18 +92,25 @@ def jaro_winkler_similarity(a: str, b: str) -> float:
     """Jaro similarity, raised for a common prefix of up to 4 where it is over 0.7; either empty 0."""
     if not a or not b:
         return 0.0
+    if a == b:
+        return 1.0
     reach = max(0, max(len(a), len(b)) // 2 - 1)
-    taken, matched = [False] * len(b), []
+    # the window moves on with every character, so those of one kind in b are taken in order: a queue each
+    places: dict[str, list[int]] = {}
+    for j in range(len(b) - 1, -1, -1):
+        places.setdefault(b[j], []).append(j)
+    taken, matched = [], []
     for i, char in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == char:
-                taken[j] = True
-                matched.append(char)
-                break
+        queue = places.get(char)
+        while queue and queue[-1] < i - reach:
+            queue.pop()
+        if queue and queue[-1] <= i + reach:
+            taken.append(queue.pop())
+            matched.append(char)
     if not matched:
         return 0.0
     m = len(matched)
-    moved = sum(x != y for x, y in zip(matched, (b[j] for j in range(len(b)) if taken[j]))) // 2
+    moved = sum(x != b[j] for x, j in zip(matched, sorted(taken))) // 2
     jaro = (m / len(a) + m / len(b) + (m - moved) / m) / 3
     if jaro > 0.7:
         prefix = next((k for k in range(min(4, len(a), len(b))) if a[k] != b[k]), min(4, len(a), len(b)))

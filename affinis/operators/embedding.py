@@ -50,6 +50,23 @@ def encode_missing(texts: DataFrame, cache: DataFrame, encoder: Encoder = hashed
     return known.unionByName(encode(keyed.join(cache.select("key"), "key", "left_anti"), encoder))
 
 
+def stored_vectors(texts: DataFrame, folder: str, name: str, encoder: Encoder = hashed_encoder) -> DataFrame:
+    """(eid, vector) of texts through the stored cache of an encoder: texts that it lacks are encoded, once each, and appended to it.
+
+    The cache is a Parquet folder below ``folder`` named after the encoder, keyed by the SHA-256 of the text, so neither another
+    encoder nor a changed text ever meets a wrong vector.
+    """
+    spark, path, schema = texts.sparkSession, f"{folder}/vectors-{name}", "key string, vector array<float>"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    known = target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    keyed = texts.select("eid", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.sha2("text", 256))
+    lacking = keyed.select(F.col("key").alias("eid"), "text").dropDuplicates(["eid"])
+    if known:
+        lacking = lacking.join(spark.read.schema(schema).parquet(path).select(F.col("key").alias("eid")), "eid", "left_anti")
+    encode(lacking, encoder).withColumnRenamed("eid", "key").write.mode("append").parquet(path)
+    return keyed.join(spark.read.schema(schema).parquet(path), "key").select("eid", "vector")
+
+
 def needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows of (eid, ..) that take part in pairs: only they are encoded."""
     ids = pairs.select(F.col("s1_id").alias("eid")).union(pairs.select("s23_id")).distinct()

@@ -10,7 +10,9 @@ from affinis.functions.phonetic import metaphone_code
 from affinis.functions.text import tokens
 from affinis.operators.embedding import Encoder, encode, hashed_encoder, needed, pair_cosine
 from affinis.operators.tfidf import fit_tfidf, tfidf_similarity
+from affinis.sources.shared import stored
 
+#: Names and order that a model's input has (fixed values).
 FEATURES = (
     "jaccard_name", "jaccard_addr", "levenshtein_name", "levenshtein_addr", "jaro_winkler_name", "jaro_winkler_addr",
     "overlap_name", "overlap_addr", "overlap_ratio_name", "overlap_ratio_addr", "len_ratio_name", "len_ratio_addr",
@@ -73,7 +75,8 @@ def arrow_features() -> dict[str, Column]:
 
 
 def pair_features(pairs: DataFrame, entities: DataFrame, max_features: int = 100_000, encoder: Encoder = hashed_encoder) -> DataFrame:
-    """(s1_id, s23_id, the 26 features) of candidate pairs."""
+    """(s1_id, s23_id, the 26 features) of candidate pairs, which are stored once, as six steps read them."""
+    pairs = stored(pairs.select("s1_id", "s23_id"), "pairs")
     used = entities.join(
         pairs.select(F.col("s1_id").alias("entity_id")).union(pairs.select("s23_id")).distinct(), "entity_id", "left_semi"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -14,17 +15,18 @@ from pyspark.sql import functions as F
 from affinis.operators.features import FEATURES
 
 
-def train_model(pairs: DataFrame, features: Sequence[str] = FEATURES, rounds: int = 100, rate: float = 0.05, depth: int = 5, min_rows: int = 20, seed: int = 42) -> PipelineModel:
+def train_model(pairs: DataFrame, features: Sequence[str] = FEATURES, rounds: int = 100, rate: float = 0.05, leaves: int = 63, min_rows: int = 20, seed: int = 42, positive_weight: float = 1.0) -> PipelineModel:
     """A model of pairs (features, label, validation); rounds stop once validation pairs no longer gain.
 
-    The tolerance is 0: any other value measures a single round's gain and stops boosting far too early.
+    The tolerance is 0: any other value measures a single round's gain and stops boosting far too early; Spark has no patience of
+    several rounds. Trees grow level by level, to the least depth that has room for ``leaves``; pairs with label 1 weigh positive_weight.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
     boosting = GBTClassifier(
         featuresCol="_features", labelCol="label", predictionCol="_prediction",
-        maxIter=rounds, stepSize=rate, maxDepth=depth, minInstancesPerNode=min_rows, seed=seed, validationIndicatorCol="validation", validationTol=0.0,
+        maxIter=rounds, stepSize=rate, maxDepth=max(1, math.ceil(math.log2(leaves))), weightCol="_weight", minInstancesPerNode=min_rows, seed=seed, validationIndicatorCol="validation", validationTol=0.0,
     )
-    rows = pairs.withColumn("label", F.col("label").cast("double"))
+    rows = pairs.withColumn("label", F.col("label").cast("double")).withColumn("_weight", F.when(F.col("label") == 1, positive_weight).otherwise(1.0))
     return PipelineModel([assembler, boosting.fit(assembler.transform(rows))])
 
 

@@ -39,9 +39,14 @@ def fit_tfidf(texts: DataFrame, max_features: int = 100_000) -> DataFrame:
 
 
 def tfidf_similarity(pairs: DataFrame, weights: DataFrame) -> DataFrame:
-    """(s1_id, s23_id, tfidf_sim) of pairs: the product of their rows; unknown ids 0."""
-    left = weights.select(F.col("eid").alias("s1_id"), "gram", F.col("weight").alias("w1"))
-    right = weights.select(F.col("eid").alias("s23_id"), "gram", F.col("weight").alias("w2"))
-    shared = pairs.select("s1_id", "s23_id").join(left, "s1_id").join(right, ["s23_id", "gram"])
-    sims = shared.groupBy("s1_id", "s23_id").agg(F.sum(F.col("w1") * F.col("w2")).alias("tfidf_sim"))
-    return pairs.select("s1_id", "s23_id").join(sims, ["s1_id", "s23_id"], "left").select("s1_id", "s23_id", F.coalesce("tfidf_sim", F.lit(0.0)).alias("tfidf_sim"))
+    """(s1_id, s23_id, tfidf_sim) of pairs: the product of their rows; unknown ids 0.
+
+    Each record's weights are one map, joined once a side, so the pairs are never multiplied by their grams.
+    """
+    rows = weights.groupBy("eid").agg(F.map_from_entries(F.collect_list(F.struct("gram", "weight"))).alias("row"))
+    both = pairs.select("s1_id", "s23_id")
+    for key in ("s1_id", "s23_id"):
+        both = both.join(rows.select(F.col("eid").alias(key), F.col("row").alias(f"of_{key}")), key, "left")
+    products = F.map_values(F.map_zip_with("of_s1_id", "of_s23_id", lambda gram, x, y: F.coalesce(x * y, F.lit(0.0))))
+    total = F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
+    return both.select("s1_id", "s23_id", F.coalesce(total, F.lit(0.0)).alias("tfidf_sim"))

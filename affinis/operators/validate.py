@@ -17,6 +17,11 @@ RULES = {
     "unknown_id": "id within a list that is in no source",
     "missing_s1": "required S1 id without a row",
     "unexpected_s1": "S1 id that is not required",
+    "not_utf8": "line that is not UTF-8",
+    "no_candidate": "S1 id with a match that is no candidate",
+    "header": "a header other than expected",
+    "file_absent": "file that is not there",
+    "ids_unchecked": "ids in lists are not checked",
 }
 
 
@@ -73,6 +78,11 @@ def find_errors(parsed: DataFrame, required: DataFrame, targets: DataFrame | Non
     return out
 
 
+def encoding_errors(lines: DataFrame) -> DataFrame:
+    """(rule, subject): lines (value) that are not UTF-8, by their readable form."""
+    return lines.where(~F.is_valid_utf8("value")).select(F.lit("not_utf8").alias("rule"), F.make_valid_utf8("value").alias("subject")).distinct()
+
+
 def unmatched_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
     """(s1_id): a warning for records with matches that are not among their candidates; both parsed."""
     pairs = lambda rows: rows.where("not malformed").select("s1_id", F.explode("ids").alias("id"))

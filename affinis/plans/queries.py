@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.functions import text as norm
-from affinis.functions.similarity import cosine
 from affinis.operators import blocking, evaluate, features, model, relational, sampling, tfidf, validate
+from affinis.operators.embedding import pair_cosine
 from affinis.plans.truth import similar_documents
 from affinis.schema import ACCENTED, FOLDED, document_entities, part_entities, source_of
+from affinis.sources.shared import once, stored
 
-#: Blocking families that SQL can express, cap and best candidates of the registered queries.
-PLAIN, CAP, TOP_K, PART_CAP = ("n", "pfx", "addr", "tok", "bg", "an"), 2500, 100, 40
+#: Blocking families that SQL can express; cap and best candidates of the registered queries; cap for parts; shared keys of narrow candidates.
+PLAIN, CAP, TOP_K, PART_CAP, NARROW = ("n", "pfx", "addr", "tok", "bg", "an"), 2500, 100, 40, 60
 TRUE, TAUS = 0.7, evaluate.tau_grid()
 
 
@@ -23,10 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document records; their names and addresses are already in normal form but for suffixes."""
-    return document_entities(table(spark, sf_dir, "documents")).withColumns(
-        {"norm_name": norm.normalize_ascii(F.col("business_name")), "norm_address": norm.normalize_ascii(F.col("business_address"))}
-    )
+    """Document records with their normal forms, stored once for all queries of an application, as are candidates and truth."""
+    made = {"norm_name": norm.normalize_ascii(F.col("business_name")), "norm_address": norm.normalize_ascii(F.col("business_address"))}
+    return once(spark, "entities", sf_dir, lambda: document_entities(table(spark, sf_dir, "documents")).withColumns(made))
 
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +34,11 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.block(entities(spark, sf_dir), CAP, TOP_K, PLAIN)
+    return once(spark, "candidates", sf_dir, lambda: blocking.block(entities(spark, sf_dir), CAP, TOP_K, PLAIN))
 
 
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(table(spark, sf_dir, "documents"), TRUE)
+    return once(spark, "truth", sf_dir, lambda: similar_documents(table(spark, sf_dir, "documents"), TRUE))
 
 
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs with a plain score: the mean of two similarities, to nine digits."""
     made = features.catalyst_features()
     proba = F.round((made["jaccard_name"] + made["overlap_ratio_addr"]) / 2, 9)
-    return joined(spark, sf_dir).select("s1_id", "s23_id", proba.alias("proba"))
+    return once(spark, "scored", sf_dir, lambda: joined(spark, sf_dir).select("s1_id", "s23_id", proba.alias("proba")))
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,9 +81,9 @@ def er_country_counts(spark, sf_dir):
 
 
 def er_normalize_ascii(spark, sf_dir):
-    """The normal form of all ASCII texts."""
-    docs = table(spark, sf_dir, "documents").where(~F.col("text").rlike(r"[^\x00-\x7f]"))
-    return docs.select("doc_id", norm.normalize_ascii(F.col("text")).alias("norm"))
+    """The normal form of all texts, accents folded and what is not ASCII then taken as blanks."""
+    plain = F.regexp_replace(F.translate("text", ACCENTED, FOLDED), r"[^\x00-\x7f]", " ")
+    return table(spark, sf_dir, "documents").select("doc_id", norm.normalize_ascii(plain).alias("norm"))
 
 
 def er_normalize_unicode(spark, sf_dir):
@@ -177,9 +177,9 @@ def er_embedding_cosine(spark, sf_dir):
     """Cosines of vectors of one label, first against all."""
     vectors = table(spark, sf_dir, "embeddings")
     first = vectors.groupBy("label").agg(F.min("vec_id").alias("a_id"))
-    anchor = first.join(vectors.select(F.col("vec_id").alias("a_id"), F.col("embedding").alias("a")), "a_id")
-    pairs = vectors.join(anchor, "label")
-    return pairs.select("a_id", F.col("vec_id").alias("b_id"), F.round(cosine(F.col("a"), F.col("embedding")), 6).alias("cos"))
+    pairs = vectors.join(first, "label").select(F.col("a_id").alias("s1_id"), F.col("vec_id").alias("s23_id"))
+    found = pair_cosine(pairs, vectors.select(F.col("vec_id").alias("eid"), F.col("embedding").alias("vector")), "cos")
+    return found.select(F.col("s1_id").alias("a_id"), F.col("s23_id").alias("b_id"), F.round("cos", 6).alias("cos"))
 
 
 def er_feature_table(spark, sf_dir):
@@ -192,6 +192,18 @@ def er_labels(spark, sf_dir):
     return features.with_labels(candidates(spark, sf_dir).select("s1_id", "s23_id"), truth(spark, sf_dir))
 
 
+def er_label_counts(spark, sf_dir):
+    """Candidates by label."""
+    return er_labels(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n"))
+
+
+def er_candidate_sweep(spark, sf_dir):
+    """F0.5 by threshold over the records that have candidates (M6)."""
+    validated = candidates(spark, sf_dir).select("s1_id").distinct()
+    swept = evaluate.threshold_sweep(scored(spark, sf_dir), truth(spark, sf_dir), validated, TAUS[:-1])
+    return swept.select("tau", F.round("f05", 9).alias("f05"))
+
+
 def er_grouped_split(spark, sf_dir):
     """Candidates split by S1 record (M1)."""
     return sampling.grouped_split(candidates(spark, sf_dir).select("s1_id", "s23_id"))
@@ -209,7 +221,7 @@ def er_stratum_counts(spark, sf_dir):
 
 def er_dev_cohort(spark, sf_dir):
     """Ids of a development cohort (M8)."""
-    records, _ = sampling.dev_cohort(entities(spark, sf_dir).persist(), truth(spark, sf_dir).persist(), population(spark, sf_dir), 100)
+    records, _ = sampling.dev_cohort(entities(spark, sf_dir), truth(spark, sf_dir), population(spark, sf_dir), 100)
     return records.select("entity_id")
 
 
@@ -274,7 +286,7 @@ def er_validate_findings(spark, sf_dir):
 def er_unmatched_candidates(spark, sf_dir):
     """Records whose matches are not all candidates."""
     lists = lambda df, c: df.select("s1_id", F.filter(F.split(c, ","), lambda x: x != "").alias("ids"), F.lit(False).alias("malformed"))
-    narrow = candidates(spark, sf_dir).where("overlap >= 8")
+    narrow = candidates(spark, sf_dir).where(F.col("overlap") >= NARROW)
     own = relational.id_lists(narrow, population(spark, sf_dir), "s1_id", "s23_id", "c")
     return validate.unmatched_candidates(lists(er_matching_results(spark, sf_dir), "matched_entity_ids"), lists(own, "c"))
 
@@ -284,9 +296,9 @@ def er_gbt_score(spark, sf_dir):
     names = (*SETS, *LENGTHS, "numeric_addr_match", "soundex_name_match")
     made = features.catalyst_features()
     pairs = joined(spark, sf_dir).withColumns({n: made[n] for n in names}).select("s1_id", "s23_id", *names)
-    split = sampling.grouped_split(features.with_labels(pairs, truth(spark, sf_dir))).persist()
+    split = stored(sampling.grouped_split(features.with_labels(pairs, truth(spark, sf_dir))), "split")
     kept = sampling.subsample_negatives(split.where("not validation")).unionByName(split.where("validation"))
-    fitted = model.train_model(kept, names, rounds=10)
+    fitted = model.train_model(kept, names, rounds=50)
     return model.score_pairs(split, fitted).select("s1_id", "s23_id", "label", "proba")
 
 
@@ -314,7 +326,7 @@ _WORDS = f"list_filter(string_split(regexp_replace(translate(lower(coalesce(text
 _ENT = f"""
 raw AS (SELECT doc_id, lang, {_WORDS} AS ws FROM documents),
 ent0 AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, array_to_string(ws[1:6], ' ') AS business_name,
-  array_to_string(ws[7:18], ' ') AS business_address, coalesce(lang, '') AS country FROM raw),
+  array_to_string(ws[7:], ' ') AS business_address, coalesce(lang, '') AS country FROM raw),
 ent AS (SELECT *, {_normal('business_name')} AS norm_name, {_normal('business_address')} AS norm_address FROM ent0),
 tok AS (SELECT *, list_filter(string_split(norm_name, ' '), lambda w: w <> '') AS nw, list_filter(string_split(norm_address, ' '), lambda w: w <> '') AS aw FROM ent),
 pop AS (SELECT 'S1-' || doc_id AS s1_id FROM documents WHERE doc_id % 3 = 0)"""
@@ -447,7 +459,7 @@ pkeys AS ({_keys('ptok')})"""
         "er_population": f"WITH {_CAND} SELECT pop.s1_id, count(cand.s23_id) AS n FROM pop LEFT JOIN cand USING (s1_id) GROUP BY ALL",
         "er_distinct_entities": "SELECT lower(p_name) AS business_name, min('S' || (p_partkey % 3 + 1) || '-' || p_partkey) AS entity_id FROM part GROUP BY 1",
         "er_country_counts": f"WITH {_ENT} SELECT split_part(entity_id, '-', 1) AS source, country, count(*) AS n, count(DISTINCT business_name) AS n_names FROM ent GROUP BY 1, 2",
-        "er_normalize_ascii": f"SELECT doc_id, {_normal('text')} AS norm FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7f]')",
+        "er_normalize_ascii": f"SELECT doc_id, {_normal('plain')} AS norm FROM (SELECT doc_id, regexp_replace(translate(text, '{ACCENTED}', '{FOLDED}'), '[^\\x00-\\x7f]', ' ', 'g') AS plain FROM documents)",
         "er_blocking_keys": f"WITH {_ENT} {_keys('tok')}",
         "er_soundex_keys": f"""WITH {_ENT}, s AS (SELECT entity_id, {sounds.format('nw')} AS every, {sounds.format('nw[1:3]')} AS head FROM tok)
 SELECT DISTINCT entity_id, key FROM (SELECT entity_id, 'sph:' || unnest(every) AS key FROM s UNION ALL SELECT entity_id, 'ph:' || head[1] || '_' || head[2] FROM s WHERE len(head) >= 2)""",
@@ -472,6 +484,8 @@ SELECT s1_id, s23_id FROM truth WHERE (s1_id, s23_id) NOT IN (SELECT (s1_id, s23
 v AS (SELECT s1_id, row_number() OVER (ORDER BY md5('42|' || s1_id), s1_id) AS r FROM s)
 SELECT s1_id, s23_id, r <= greatest(1, least(greatest(floor(n * 0.15), least(5000, n // 2)), n - 1)) AS validation FROM cand JOIN v USING (s1_id), n""",
         "er_neg_subsample": f"""WITH {_LABELS} SELECT s1_id, s23_id, label FROM lab QUALIFY label = 1 OR row_number() OVER (PARTITION BY label ORDER BY md5('42|' || s1_id || '|' || s23_id), s1_id, s23_id) <= 10 * (SELECT sum(label) FROM lab)""",
+        "er_label_counts": f"WITH {_LABELS} SELECT label, count(*) AS n FROM lab GROUP BY label",
+        "er_candidate_sweep": f"WITH {_SWEEP} SELECT tau::DOUBLE AS tau, round(avg({_F05}), 9)::DOUBLE AS f05 FROM full_ WHERE cap = 0 AND tau < 0.985 AND s1_id IN (SELECT s1_id FROM cand) GROUP BY tau",
         "er_stratum_counts": f"WITH {_STRATA} SELECT stratum::BIGINT AS stratum, count(*) AS n FROM strata GROUP BY 1",
         "er_dev_cohort": f"WITH {_COHORT} SELECT s1_id AS entity_id FROM chosen UNION ALL SELECT s23_id FROM matched UNION ALL SELECT entity_id FROM rest WHERE r <= 5 * (SELECT count(*) FROM matched WHERE s23_id LIKE s || '-%')",
         "er_threshold_sweep": f"""WITH {_SWEEP} SELECT cap, tau::DOUBLE AS tau, round(avg({_F05}), 9)::DOUBLE AS f05, round(coalesce(avg(CASE WHEN t = 0 THEN CASE WHEN p = 0 THEN 1.0 ELSE 0.0 END END), 1.0), 9)::DOUBLE AS singleton_acc FROM full_ GROUP BY cap, tau""",
@@ -490,5 +504,5 @@ UNION ALL SELECT 'wrong_prefix', id FROM ids WHERE NOT regexp_matches(id, '^S[12
 UNION ALL SELECT 'unknown_id', id FROM ids WHERE regexp_matches(id, '^S[23]-') AND id NOT IN (SELECT id FROM tgt)
 UNION ALL SELECT 'missing_s1', s1 FROM req WHERE s1 NOT IN (SELECT s1 FROM rows_)
 UNION ALL SELECT 'unexpected_s1', s1 FROM rows_ WHERE s1 NOT IN (SELECT s1 FROM req))""",
-        "er_unmatched_candidates": f"WITH {_MATCH} SELECT DISTINCT s1_id FROM match WHERE (s1_id, s23_id) NOT IN (SELECT (s1_id, s23_id) FROM cand WHERE overlap >= 8)",
+        "er_unmatched_candidates": f"WITH {_MATCH} SELECT DISTINCT s1_id FROM match WHERE (s1_id, s23_id) NOT IN (SELECT (s1_id, s23_id) FROM cand WHERE overlap >= {NARROW})",
     }
