@@ -9,6 +9,7 @@ from affinis.functions import similarity as sim
 from affinis.functions.phonetic import metaphone_code
 from affinis.functions.text import tokens
 from affinis.operators.embedding import Encoder, encode, hashed_encoder, needed, pair_cosine
+from affinis.operators.relational import broadcast_if_small
 from affinis.operators.tfidf import fit_tfidf, tfidf_similarity
 from affinis.sources.shared import stored
 
@@ -31,7 +32,7 @@ def joined_pairs(pairs: DataFrame, entities: DataFrame) -> DataFrame:
             F.coalesce("norm_address", F.lit("")).alias(f"{side}_addr"),
             F.lower(F.trim(F.coalesce("country", F.lit("")))).alias(f"{side}_country"),
         )
-        pairs = pairs.join(record, key)
+        pairs = pairs.join(broadcast_if_small(record), key)
     words = {f"{s}_{c}_words": tokens(F.col(f"{s}_{c}")) for s in "ab" for c in ("name", "addr")}
     return pairs.withColumns(words)
 

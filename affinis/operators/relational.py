@@ -44,6 +44,16 @@ def without_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key), key, "left_anti")
 
 
+#: Bytes of a table, as the planner knows them, up to which a join may broadcast it.
+BROADCAST_BYTES = 128 << 20
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """df, marked for broadcasting if the planner's size of it is at most BROADCAST_BYTES; else joins shuffle."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def id_lists(pairs: DataFrame, population: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """One row per member of the population: its distinct values sorted and comma-joined, '' where it has none."""
     lists = pairs.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(value)), ",").alias(out))

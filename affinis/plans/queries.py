@@ -41,7 +41,22 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(spark, "truth", sf_dir, lambda: similar_documents(table(spark, sf_dir, "documents"), TRUE))
 
 
+def part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part records with their normal forms: short texts, as the pairwise similarities are made for."""
+    made = {"norm_name": norm.normalize_ascii(F.col("business_name")), "norm_address": norm.normalize_ascii(F.col("business_address"))}
+    return once(spark, "part-records", sf_dir, lambda: part_entities(table(spark, sf_dir, "part")).withColumns(made))
+
+
+def part_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return once(spark, "part-candidates", sf_dir, lambda: blocking.block(part_records(spark, sf_dir), CAP, TOP_K, PLAIN))
+
+
 def joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate pairs of part records with both texts."""
+    return features.joined_pairs(part_candidates(spark, sf_dir).select("s1_id", "s23_id"), part_records(spark, sf_dir))
+
+
+def joined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.joined_pairs(candidates(spark, sf_dir).select("s1_id", "s23_id"), entities(spark, sf_dir))
 
 
@@ -49,7 +64,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs with a plain score: the mean of two similarities, to nine digits."""
     made = features.catalyst_features()
     proba = F.round((made["jaccard_name"] + made["overlap_ratio_addr"]) / 2, 9)
-    return once(spark, "scored", sf_dir, lambda: joined(spark, sf_dir).select("s1_id", "s23_id", proba.alias("proba")))
+    return once(spark, "scored", sf_dir, lambda: joined_documents(spark, sf_dir).select("s1_id", "s23_id", proba.alias("proba")))
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +183,8 @@ def er_feat_indel(spark, sf_dir):
 
 def er_tfidf_cosine(spark, sf_dir):
     """TF-IDF similarity of candidates."""
-    texts = entities(spark, sf_dir).select(F.col("entity_id").alias("eid"), norm.tokens(F.col("norm_name")).alias("words"))
-    sims = tfidf.tfidf_similarity(candidates(spark, sf_dir), tfidf.fit_tfidf(texts))
+    texts = part_records(spark, sf_dir).select(F.col("entity_id").alias("eid"), norm.tokens(F.col("norm_name")).alias("words"))
+    sims = tfidf.tfidf_similarity(part_candidates(spark, sf_dir), tfidf.fit_tfidf(texts))
     return sims.select("s1_id", "s23_id", F.round("tfidf_sim", 6).alias("tfidf_sim"))
 
 
@@ -184,7 +199,7 @@ def er_embedding_cosine(spark, sf_dir):
 
 def er_feature_table(spark, sf_dir):
     """All 26 features of all candidates."""
-    return features.pair_features(candidates(spark, sf_dir), entities(spark, sf_dir))
+    return features.pair_features(part_candidates(spark, sf_dir), part_records(spark, sf_dir))
 
 
 def er_labels(spark, sf_dir):
@@ -295,7 +310,7 @@ def er_gbt_score(spark, sf_dir):
     """Candidates scored by boosted trees that were trained on part of them (M3, M4)."""
     names = (*SETS, *LENGTHS, "numeric_addr_match", "soundex_name_match")
     made = features.catalyst_features()
-    pairs = joined(spark, sf_dir).withColumns({n: made[n] for n in names}).select("s1_id", "s23_id", *names)
+    pairs = joined_documents(spark, sf_dir).withColumns({n: made[n] for n in names}).select("s1_id", "s23_id", *names)
     split = stored(sampling.grouped_split(features.with_labels(pairs, truth(spark, sf_dir))), "split")
     kept = sampling.subsample_negatives(split.where("not validation")).unionByName(split.where("validation"))
     fitted = model.train_model(kept, names, rounds=50)
@@ -357,9 +372,18 @@ _TRUTH = f"""
 tset AS (SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS id, list_distinct(ws) AS ws FROM (SELECT doc_id, {_WORDS} AS ws FROM documents) WHERE len(ws) > 0),
 truth AS (SELECT s1_id, s23_id FROM (SELECT a.id AS s1_id, b.id AS s23_id, len(list_intersect(a.ws, b.ws)) AS n, len(a.ws) AS x, len(b.ws) AS y FROM tset a, tset b
   WHERE a.id LIKE 'S1-%' AND b.id NOT LIKE 'S1-%' AND len(a.ws) >= {TRUE} * len(b.ws) AND len(b.ws) >= {TRUE} * len(a.ws)) WHERE n / (x + y - n) >= {TRUE})"""
+_PART = f"""
+part0 AS (SELECT 'S' || (p_partkey % 3 + 1) || '-' || p_partkey AS entity_id, lower(p_name) AS business_name, lower(p_brand || ' ' || p_type || ' ' || p_size) AS business_address, p_brand AS country FROM part),
+pent AS (SELECT *, {_normal('business_name')} AS norm_name, {_normal('business_address')} AS norm_address FROM part0),
+ptok AS (SELECT *, list_filter(string_split(norm_name, ' '), lambda w: w <> '') AS nw, list_filter(string_split(norm_address, ' '), lambda w: w <> '') AS aw FROM pent),
+pkeys AS ({_keys('ptok')}),
+ppost AS (SELECT entity_id, key FROM pkeys WHERE entity_id NOT LIKE 'S1-%' AND key IN (SELECT key FROM pkeys WHERE entity_id NOT LIKE 'S1-%' GROUP BY key HAVING count(*) <= {CAP})),
+pcounted AS (SELECT a.entity_id AS s1_id, b.entity_id AS s23_id, count(*) AS overlap FROM pkeys a JOIN ppost b USING (key) WHERE a.entity_id LIKE 'S1-%' GROUP BY ALL),
+pcand AS (SELECT * FROM pcounted QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY overlap DESC, s23_id) <= {TOP_K})"""
 _PAIR = f"""{_CAND},
 pair AS (SELECT s1_id, s23_id, a.norm_name AS an, b.norm_name AS bn, a.norm_address AS aa, b.norm_address AS ba, lower(trim(a.country)) AS ac, lower(trim(b.country)) AS bc,
   a.nw AS anw, b.nw AS bnw, a.aw AS aaw, b.aw AS baw FROM cand JOIN tok a ON a.entity_id = s1_id JOIN tok b ON b.entity_id = s23_id)"""
+_PPAIR = _PART + _PAIR[len(_CAND):].replace("FROM cand JOIN tok a", "FROM pcand JOIN ptok a").replace("JOIN tok b", "JOIN ptok b")
 
 
 def _jac(a: str, b: str) -> str:
@@ -408,15 +432,15 @@ chosen AS (SELECT s1_id FROM ranked JOIN want USING (stratum) WHERE r <= wanted
 matched AS (SELECT DISTINCT s23_id FROM truth WHERE s1_id IN (SELECT s1_id FROM chosen)),
 rest AS (SELECT entity_id, split_part(entity_id, '-', 1) AS s, row_number() OVER (PARTITION BY split_part(entity_id, '-', 1) ORDER BY md5('42|' || entity_id), entity_id) AS r FROM ent
   WHERE entity_id NOT LIKE 'S1-%' AND entity_id NOT IN (SELECT s23_id FROM matched))"""
-_TFIDF = f"""{_CAND},
-word AS (SELECT entity_id AS eid, ' ' || w || ' ' AS p FROM (SELECT entity_id, unnest(nw) AS w FROM tok)),
+_TFIDF = f"""{_PART},
+word AS (SELECT entity_id AS eid, ' ' || w || ' ' AS p FROM (SELECT entity_id, unnest(nw) AS w FROM ptok)),
 gram AS (SELECT eid, substring(p, i, 3) AS gram FROM (SELECT eid, p, unnest(range(1, greatest(length(p) - 3 + 1, 1) + 1)) AS i FROM word)
   UNION ALL SELECT eid, substring(p, i, 4) FROM (SELECT eid, p, unnest(range(1, length(p) - 4 + 2)) AS i FROM word WHERE length(p) >= 4)),
 tf AS (SELECT eid, gram, count(*) AS tf FROM gram GROUP BY ALL),
-voc AS (SELECT gram, ln((1 + (SELECT count(*) FROM ent)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY gram ORDER BY sum(tf) DESC, gram LIMIT 100000),
+voc AS (SELECT gram, ln((1 + (SELECT count(*) FROM ptok)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY gram ORDER BY sum(tf) DESC, gram LIMIT 100000),
 w0 AS (SELECT eid, gram, (1 + ln(tf)) * idf AS w FROM tf JOIN voc USING (gram)),
 w AS (SELECT eid, gram, w / sqrt(sum(w * w) OVER (PARTITION BY eid)) AS w FROM w0),
-sim AS (SELECT s1_id, s23_id, sum(a.w * b.w) AS s FROM cand JOIN w a ON a.eid = s1_id JOIN w b ON b.eid = s23_id AND b.gram = a.gram GROUP BY ALL)"""
+sim AS (SELECT s1_id, s23_id, sum(a.w * b.w) AS s FROM pcand JOIN w a ON a.eid = s1_id JOIN w b ON b.eid = s23_id AND b.gram = a.gram GROUP BY ALL)"""
 _SWEEP = f"""{_SCORED}, {_TRUTH},
 grid AS (SELECT cap, round(0.3 + k * 0.01, 4) AS tau FROM range(70) r(k), (VALUES (0), (1), (3)) c(cap)),
 ranked AS (SELECT s1_id, s23_id, proba, row_number() OVER (PARTITION BY s1_id ORDER BY proba DESC, s23_id) AS r, CASE WHEN t.s1_id IS NULL THEN 0 ELSE 1 END AS hit FROM scored LEFT JOIN truth t USING (s1_id, s23_id)),
@@ -434,7 +458,7 @@ tgt AS (SELECT unnest(['S2-' || o_orderkey, 'S3-' || o_orderkey]) AS id FROM ord
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    part = f"""part0 AS (SELECT 'S' || (p_partkey % 3 + 1) || '-' || p_partkey AS entity_id, lower(p_name) AS norm_name, lower(p_brand || ' ' || p_type) AS norm_address FROM part),
+    part = f"""part0 AS (SELECT 'S' || (p_partkey % 3 + 1) || '-' || p_partkey AS entity_id, lower(p_name) AS norm_name, lower(p_brand || ' ' || p_type || ' ' || p_size) AS norm_address FROM part),
 ptok AS (SELECT *, list_filter(string_split(norm_name, ' '), lambda w: w <> '') AS nw, list_filter(string_split(norm_address, ' '), lambda w: w <> '') AS aw FROM part0),
 pkeys AS ({_keys('ptok')})"""
     sounds = "list_transform(list_filter({0}, lambda w: regexp_full_match(w, '[A-Za-z]{{2,}}')), lambda w: " + _soundex("w").replace("{", "{{").replace("}", "}}") + ")"
@@ -452,7 +476,7 @@ pkeys AS ({_keys('ptok')})"""
     numeric = f"CASE WHEN len({x}) = 0 OR len({y}) = 0 THEN 0.0 ELSE len(list_intersect({x}, {y})) / greatest(len({x}), len({y})) END"
     first_a, first_b = "list_min(anw)", "list_min(bnw)"
     sound = _flag(f"regexp_full_match({first_a}, '[a-z]+') AND regexp_full_match({first_b}, '[a-z]+') AND {_soundex(first_a)} = {_soundex(first_b)}")
-    made = lambda columns: f"WITH {_PAIR} SELECT s1_id, s23_id, " + ", ".join(f"round({e}, 9)::DOUBLE AS {n}" for n, e in columns.items()) + " FROM pair"
+    made = lambda columns: f"WITH {_PPAIR} SELECT s1_id, s23_id, " + ", ".join(f"round({e}, 9)::DOUBLE AS {n}" for n, e in columns.items()) + " FROM pair"
     lists = lambda name, rows: f"SELECT pop.s1_id, coalesce(l, '') AS {name} FROM pop LEFT JOIN (SELECT s1_id, string_agg(s23_id, ',' ORDER BY s23_id) AS l FROM {rows} GROUP BY s1_id) g USING (s1_id)"
     return {
         "er_source_union": f"WITH {_ENT} SELECT entity_id, split_part(entity_id, '-', 1) AS source, business_name, business_address, country FROM ent",
@@ -476,8 +500,8 @@ SELECT s1_id, s23_id FROM truth WHERE (s1_id, s23_id) NOT IN (SELECT (s1_id, s23
         "er_feat_lengths": made(lengths),
         "er_feat_numeric": made({"numeric_addr_match": numeric}),
         "er_feat_soundex": made({"soundex_name_match": sound}),
-        "er_feat_jaro_winkler": f"WITH {_PAIR} SELECT s1_id, s23_id, " + ", ".join(f"round(CASE WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE jaro_winkler_similarity({a}, {b}) END, 6)::DOUBLE AS jaro_winkler_{n}" for a, b, n in (("an", "bn", "name"), ("aa", "ba", "addr"))) + " FROM pair",
-        "er_tfidf_cosine": f"WITH {_TFIDF} SELECT s1_id, s23_id, round(coalesce(s, 0), 6)::DOUBLE AS tfidf_sim FROM cand LEFT JOIN sim USING (s1_id, s23_id)",
+        "er_feat_jaro_winkler": f"WITH {_PPAIR} SELECT s1_id, s23_id, " + ", ".join(f"round(CASE WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE jaro_winkler_similarity({a}, {b}) END, 6)::DOUBLE AS jaro_winkler_{n}" for a, b, n in (("an", "bn", "name"), ("aa", "ba", "addr"))) + " FROM pair",
+        "er_tfidf_cosine": f"WITH {_TFIDF} SELECT s1_id, s23_id, round(coalesce(s, 0), 6)::DOUBLE AS tfidf_sim FROM pcand LEFT JOIN sim USING (s1_id, s23_id)",
         "er_embedding_cosine": "WITH f AS (SELECT label, min(vec_id) AS a_id FROM embeddings GROUP BY 1) SELECT a_id, b.vec_id AS b_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS cos FROM f JOIN embeddings a ON a.vec_id = a_id JOIN embeddings b ON b.label = f.label",
         "er_labels": f"WITH {_LABELS} SELECT s1_id, s23_id, label FROM lab",
         "er_grouped_split": f"""WITH {_CAND}, s AS (SELECT DISTINCT s1_id FROM cand), n AS (SELECT count(*) AS n FROM s),

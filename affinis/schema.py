@@ -42,10 +42,10 @@ def document_entities(documents: DataFrame, name_words: int = 6) -> DataFrame:
 
 
 def part_entities(part: DataFrame) -> DataFrame:
-    """Parts as records of three sources: few names shared by many records."""
+    """Parts as records of three sources: few names shared by many records; brand, type and size are the address, the brand the country."""
     return part.select(
         F.concat(F.lit("S"), F.pmod("p_partkey", F.lit(3)) + 1, F.lit("-"), F.col("p_partkey")).alias("entity_id"),
         F.lower("p_name").alias("business_name"),
-        F.lower(F.concat_ws(" ", "p_brand", "p_type")).alias("business_address"),
-        F.lit("x").alias("country"),
+        F.lower(F.concat_ws(" ", "p_brand", "p_type", F.col("p_size").cast("string"))).alias("business_address"),
+        F.coalesce("p_brand", F.lit("")).alias("country"),
     )
