@@ -7,8 +7,9 @@ import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,16 +146,43 @@ def holding(owner: str, release: Callable[[], None]) -> None:
         trim(0)
 
 
+#: Edges of which a task makes a spanning forest.
+FOREST_ROWS = 250_000
+
+
+def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges (a, b) of a spanning forest of a partition's edges."""
+    held = [np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1) for batch in batches if batch.num_rows]
+    if not held:
+        return
+    edges = np.concatenate(held)
+    nodes, ends = np.unique(edges, return_inverse=True)
+    root, kept = list(range(len(nodes))), np.zeros(len(edges), bool)
+    for k, (a, b) in enumerate(ends.reshape(-1, 2).tolist()):
+        while root[a] != a:
+            root[a] = a = root[root[a]]
+        while root[b] != b:
+            root[b] = b = root[root[b]]
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            kept[k] = True
+    yield pa.record_batch([pa.array(edges[kept, side]) for side in (0, 1)], ["lo", "hi"])
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of edges (a long, b long): (node, component), component the smallest node reachable.
 
     Alternating large-star and small-star steps; every step is a grouped minimum (combined before its shuffle) and an
-    equi-join, so no component is ever gathered in one place. Each round is written to the shared folder; the number of
+    equi-join, so no component is ever gathered in one place. Before, parts of FOREST_ROWS edges each are cut to spanning forests,
+    as groups of copies come with many times the edges that connect them. Each round is written to the shared folder; the number of
     rounds grows with the logarithm of the largest component. Nodes without edges do not appear; loops are ignored.
     """
-    now = written(
+    all_edges = written(
         edges.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), label
     )
+    parts = -(-all_edges.count() // FOREST_ROWS)
+    now = written(all_edges.repartition(max(1, parts)).mapInArrow(_spanning, "lo long, hi long"), label)
+    forget(all_edges)
     mark = None
     while True:
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select("lo", "hi"))

@@ -21,6 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from affinis.llm.common import holding
 
@@ -46,22 +47,30 @@ def word_segments(word: bytes) -> list[bytes]:
 
 
 class Segments:
-    """The segments of texts, by number: each text's are found once, whatever they are counted for."""
+    """The segments of texts, by number: each word's are found once, however often and for whatever they are counted."""
 
     def __init__(self, texts: Iterable[bytes]):
-        names: dict[bytes, int] = {}
-        of: dict[bytes, list[int]] = {}
-        self.by_text = {}
-        for text in texts:
-            words = set(WORD.findall(text))
-            for word in (w for w in words if w not in of):
-                of[word] = [names.setdefault(s, len(names)) for s in word_segments(word)]
-            self.by_text[text] = np.unique(np.fromiter((k for word in words for k in of[word]), "i4"))
-        self.names = list(names)
+        words: dict[bytes, int] = {}
+        self.by_text = {t: np.fromiter((words.setdefault(w, len(words)) for w in set(WORD.findall(t))), "i4") for t in texts}
+        self.words = list(words)
+        hashes = np.fromiter((xxh64_intdigest(s) for w in self.words for s in word_segments(w)), "u8")
+        self.starts = np.append(0, np.cumsum(np.fromiter((len(word_segments(w)) for w in self.words), "i8", len(self.words))))
+        distinct, self.of_words = np.unique(hashes, return_inverse=True)
+        self.n = len(distinct)
 
     def counts(self, texts: list[bytes]) -> np.ndarray:
         """In how many of the texts each segment is."""
-        return np.bincount(np.concatenate([np.zeros(0, "i4"), *(self.by_text[t] for t in texts)]), minlength=len(self.names))
+        found = np.zeros(self.n, "i8")
+        for text in texts:
+            own = self.by_text[text]
+            if len(own):
+                found[np.unique(np.concatenate([self.of_words[self.starts[w] : self.starts[w + 1]] for w in own]))] += 1
+        return found
+
+    def names(self, numbers: np.ndarray) -> dict[int, bytes]:
+        """What the numbered segments are."""
+        at = np.flatnonzero(np.isin(self.of_words, numbers))
+        return {int(self.of_words[k]): word_segments(self.words[w])[k - self.starts[w]] for k, w in zip(at, np.searchsorted(self.starts, at, "right") - 1)}
 
 
 def class_segments(own: list[bytes], other: list[bytes], known: Segments) -> bytes:
@@ -70,7 +79,7 @@ def class_segments(own: list[bytes], other: list[bytes], known: Segments) -> byt
     frequent = n >= max(LEAST, SHARE * len(own))
     telling = np.flatnonzero(frequent & (n / max(1, len(own)) > RATIO * (against + 0.25) / max(1, len(other))))
     out = b""
-    for _, segment in sorted(((int(n[k]) * len(known.names[k]), known.names[k]) for k in telling), reverse=True):
+    for _, segment in sorted(((int(n[k]) * len(name), name) for k, name in known.names(telling).items()), reverse=True):
         if segment not in out and len(out) + len(segment) <= SEGMENT_BYTES:
             out = segment + out
     return out
