@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 Both halves of the vectors are quantised separately, so K centroids a half give K*K cells. A query walks the centroid pairs
-from the best summed score down with a heap and stops by a model instead of a fixed number of cells: a row's score is taken
+from the best summed score down with a heap, a few centroids of either half at a step, and stops by a model instead of a fixed number of cells: a row's score is taken
 as its cell's score plus a normal error of the quantisers' known spread, so the cell counts give the score that the k-th
 neighbour will have and the share of neighbours that the cells not yet walked may still hold. On clustered vectors few cells
 are walked, on shapeless ones many, at the same recall. All rows of walked cells are reranked by the exact inner product.
@@ -26,6 +26,8 @@ from affinis.llm.common import written
 
 #: Rows for each of the K * K cells, which sets the centroids a half between these bounds; rows that train them at most (those with the smallest hash of their id); rounds of training.
 CELL_ROWS, FEWEST, MOST, SAMPLE_ROWS, ROUNDS = 16, 8, 256, 20_000, 12
+#: Centroids of a half that a step of the walk takes together.
+STRIDE = 8
 #: Share of the expected neighbours that the walked cells must hold; rows of a block; visits of a block in one task.
 SHARE, BLOCK_ROWS, BLOCK_VISITS = 0.98, 4096, 16_384
 
@@ -77,25 +79,36 @@ class MultiIndex:
         scores, counts = scores[filled], self.counts[filled]
         wanted = min(k, int(counts.sum()))
         lo, hi = float(scores.min()) - 9 * sigma, float(scores.max()) + 9 * sigma
-        for _ in range(40):  # the score that the k-th nearest row is expected to have
+        for _ in range(18):  # the score that the k-th nearest row is expected to have
             mid = (lo + hi) / 2
             lo, hi = (mid, hi) if (counts * _tail((mid - scores) / sigma)).sum() > wanted else (lo, mid)
-        expected = dict(zip(np.flatnonzero(filled).tolist(), (counts * _tail((lo - scores) / sigma)).tolist()))
-        enough, found, rows, out = share * sum(expected.values()), 0.0, 0, []
+        expected, rows = np.zeros(len(self.counts)), self.counts
+        expected[filled] = counts * _tail((lo - scores) / sigma)
+        enough = share * expected.sum()
         first, second = np.argsort(-one), np.argsort(-two)
-        heap, seen = [(-one[first[0]] - two[second[0]], 0, 0)], {(0, 0)}
-        while heap and (found < enough or rows < wanted + 1):
+        heap, seen, found, have, held = [(-one[first[0]] - two[second[0]], 0, 0)], {(0, 0)}, 0.0, 0, []
+        least = -math.inf
+        while heap and (found < enough or have < wanted + 1 or -heap[0][0] >= least):
             _, i, j = heapq.heappop(heap)
-            cell = int(first[i]) * len(two) + int(second[j])
-            if cell in expected:
-                out.append(cell)
-                found += expected[cell]
-                rows += int(self.counts[cell])
-            for a, b in ((i + 1, j), (i, j + 1)):
-                if a < len(one) and b < len(two) and (a, b) not in seen:
-                    seen.add((a, b))
-                    heapq.heappush(heap, (-one[first[a]] - two[second[b]], a, b))
-        return out
+            a, b = first[i : i + STRIDE], second[j : j + STRIDE]
+            cells = (a[:, None] * len(two) + b[None, :]).ravel()
+            held.append((cells, (one[a][:, None] + two[b][None, :]).ravel()))
+            found, have = found + float(expected[cells].sum()), have + int(rows[cells].sum())
+            if least == -math.inf and found >= enough and have >= wanted + 1:
+                least = self._last(held, expected, enough, wanted)[0]  # what is still to come above it is taken too
+            for x, y in ((i + STRIDE, j), (i, j + STRIDE)):
+                if x < len(one) and y < len(two) and (x, y) not in seen:
+                    seen.add((x, y))
+                    heapq.heappush(heap, (-one[first[x]] - two[second[y]], x, y))
+        least, walked, values = self._last(held, expected, enough, wanted)
+        return walked[(values >= least) & (rows[walked] > 0)].tolist()
+
+    def _last(self, held: list[tuple[np.ndarray, np.ndarray]], expected: np.ndarray, enough: float, wanted: int) -> tuple[float, np.ndarray, np.ndarray]:
+        """The score of the last cell that is needed, best first, and the cells and scores seen so far."""
+        walked, values = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(-values)
+        reached = (np.cumsum(expected[walked[order]]) >= enough) & (np.cumsum(self.counts[walked[order]]) >= wanted + 1)
+        return float(values[order[np.argmax(reached)]]) if reached.any() else -math.inf, walked, values
 
 
 def _tail(z: np.ndarray) -> np.ndarray:
@@ -211,7 +224,7 @@ def search(embeddings: DataFrame, k: int = 20, every: int = 20, centroids: int |
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
 
     queries = indexed.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    queries = queries.repartition(2 * spark.sparkContext.defaultParallelism, "vec_id")  # the walks are the work, however small the table
+    queries = queries.repartition(2 * spark.sparkContext.defaultParallelism)  # the walks are the work, however small the table
     visits = written(queries.mapInArrow(walked, "block long, id long, v array<double>, least double"), "ann-visits")
     parts = visits.groupBy("block").agg(F.ceil(F.count("*") / block_visits).alias("parts"))
     rows = indexed.mapInArrow(dealt, "block long, id long, v array<double>, cell long").join(parts, "block")
