@@ -29,7 +29,7 @@ CELL_ROWS, FEWEST, MOST, SAMPLE_ROWS, ROUNDS = 16, 8, 256, 20_000, 12
 #: Centroids of a half that a step of the walk takes together.
 STRIDE = 8
 #: Share of the expected neighbours that the walked cells must hold; rows of a block; visits of a block in one task.
-SHARE, BLOCK_ROWS, BLOCK_VISITS = 0.98, 4096, 16_384
+SHARE, BLOCK_ROWS, BLOCK_VISITS = 0.985, 4096, 16_384
 
 
 def train_half(half: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
