@@ -31,10 +31,11 @@ def joined_pairs(pairs: DataFrame, entities: DataFrame) -> DataFrame:
             F.coalesce("norm_name", F.lit("")).alias(f"{side}_name"),
             F.coalesce("norm_address", F.lit("")).alias(f"{side}_addr"),
             F.lower(F.trim(F.coalesce("country", F.lit("")))).alias(f"{side}_country"),
+            tokens(F.col("norm_name")).alias(f"{side}_name_words"),  # split once a record, not once a pair
+            tokens(F.col("norm_address")).alias(f"{side}_addr_words"),
         )
         pairs = pairs.join(broadcast_if_small(record), key)
-    words = {f"{s}_{c}_words": tokens(F.col(f"{s}_{c}")) for s in "ab" for c in ("name", "addr")}
-    return pairs.withColumns(words)
+    return pairs
 
 
 def _first_alphabetic(words: Column) -> Column:
