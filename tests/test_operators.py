@@ -180,3 +180,13 @@ def test_tables_of_a_step_are_removed(spark):
     path = made.inputFiles()[0].removeprefix("file:")
     removed(made)
     assert not os.path.exists(path)
+
+
+def test_short_features_equal_joined_ones(spark):
+    rows = [(f"S{1 + k % 3}-{k}", " ".join(f"n{'abc'[(k * j) % 3]}" for j in range(k % 5)), "" if k % 7 == 0 else f"{k % 4} road " * (k % 3), ("us", " US", None)[k % 3 if k % 2 else 0]) for k in range(48)]
+    ents = spark.createDataFrame(rows, ENT)
+    ids = [r[0] for r in rows]
+    cand = spark.createDataFrame([(a, b) for a in ids for b in ids if a.startswith("S1-") and not b.startswith("S1-")], "s1_id string, s23_id string")
+    own, plain = features.short_features(), features.catalyst_features()
+    rounded = lambda df, made: sorted(map(tuple, df.select("s1_id", "s23_id", *(F.round(made[n], 9).alias(n) for n in own)).collect()))
+    assert rounded(features.joined_short(cand, ents), own) == rounded(features.joined_pairs(cand, ents), plain)
