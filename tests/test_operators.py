@@ -190,3 +190,9 @@ def test_short_features_equal_joined_ones(spark):
     own, plain = features.short_features(), features.catalyst_features()
     rounded = lambda df, made: sorted(map(tuple, df.select("s1_id", "s23_id", *(F.round(made[n], 9).alias(n) for n in own)).collect()))
     assert rounded(features.joined_short(cand, ents), own) == rounded(features.joined_pairs(cand, ents), plain)
+
+
+def test_overlaps_without_records(spark):
+    queries = spark.createDataFrame([("S1-1", [1, 2]), ("S1-2", [])], "entity_id string, keys array<long>")
+    assert overlap.best_overlaps(queries, queries.limit(0), 5, 10).isEmpty()
+    assert overlap.best_overlaps(queries.limit(0), queries, 5, 10).isEmpty()
