@@ -146,6 +146,14 @@ def holding(owner: str, release: Callable[[], None]) -> None:
         trim(0)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Lets the executors' JVMs collect their garbage, so that heap that the work before has touched goes back to the machine and Python
+    workers have room: one short task a core, as a scheduler deals them to all that are free."""
+    cores = spark.sparkContext.defaultParallelism
+    collected = F.reflect(F.lit("java.lang.System"), F.lit("gc"))
+    spark.range(0, cores, 1, cores).select(collected.alias("collected")).write.format("noop").mode("overwrite").save()
+
+
 #: Edges of which a task makes a spanning forest.
 FOREST_ROWS = 250_000
 

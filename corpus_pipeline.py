@@ -7,22 +7,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinis.llm import decontaminate, packing, secrets, simhash, toxicity
-from affinis.llm.common import forget_since, row_hash, table, without_rows, written, written_so_far
+from affinis.llm.common import forget_since, give_back, row_hash, table, without_rows, written, written_so_far
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the toxicity model rejects."""
+    give_back(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest doc_id of each group of near copies."""
+    give_back(spark)
     return simhash.without_near_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold benchmark items, also with other values in their slots."""
+    give_back(spark)
     rows = docs.select(row_hash(docs).alias("doc_id"), "text")  # a row is one document, whatever its doc_id
     leaks = decontaminate.find_leaks(rows, table(spark, sf_dir, "benchmark"))
     return without_rows(docs, written(leaks.select(F.col("doc_id").alias("hash")).distinct(), "leaks"))
@@ -30,11 +33,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces the secrets in every text by their kind; all documents stay."""
+    give_back(spark)
     return secrets.redact(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 4096 tokens."""
+    give_back(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
